@@ -1,0 +1,52 @@
+"""Links inside very large buckets: block pairs, each giving a spanning forest.
+
+A bucket of n members is cut into n / size blocks. Every pair of blocks is one
+small task that compares its members exactly and returns at most one link per
+member, enough to keep every connection; the links never grow with n squared
+and no task holds more than two blocks.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Callable
+
+import numpy as np
+import pandas as pd
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+
+def spanning_forest(near: np.ndarray) -> list[tuple[int, int]]:
+    """Links of a spanning forest of the symmetric boolean matrix ``near``."""
+    todo, links = np.ones(len(near), bool), []
+    for start in range(len(near)):
+        if not todo[start]:
+            continue
+        todo[start], stack = False, [start]
+        while stack:
+            i = stack.pop()
+            new = np.flatnonzero(near[i] & todo)
+            todo[new] = False
+            links += [(i, int(j)) for j in new]
+            stack += new.tolist()
+    return links
+
+
+def block_links(members: DataFrame, near: Callable[[pd.Series], np.ndarray], payload: str, size: int = 1024) -> DataFrame:
+    """(a, b): links between members of one bucket, as ``near`` decides.
+
+    members: columns ``bucket`` (long), ``id`` (long) and one named ``payload``.
+    near: gets the payloads of up to two blocks, returns a symmetric matrix.
+    """
+    n = members.groupBy("bucket").agg(F.ceil(F.count("*") / size).cast("int").alias("blocks"))
+    dealt = members.join(n, "bucket").withColumn("own", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
+    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    dealt = dealt.withColumn("lo", F.least("own", "other")).withColumn("hi", F.greatest("own", "other"))
+
+    def links(_key, rows: pd.DataFrame) -> pd.DataFrame:
+        rows = rows.drop_duplicates("id").sort_values("id")
+        ids = rows["id"].to_numpy()
+        found = spanning_forest(near(rows[payload]))
+        return pd.DataFrame({"a": [ids[i] for i, _ in found], "b": [ids[j] for _, j in found]}, dtype="int64")
+
+    return dealt.groupBy("bucket", "lo", "hi").applyInPandas(links, "a long, b long")

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from . import simhash
+from . import licenses, simhash, warc_store
 
-_MODULES = [simhash]
+_MODULES = [simhash, licenses, warc_store]
 
 
 def queries() -> dict:

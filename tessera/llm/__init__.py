@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from . import licenses, simhash, warc_store
+from . import licenses, quality_pu, quality_rules, simhash, toxicity, warc_store
 
-_MODULES = [simhash, licenses, warc_store]
+_MODULES = [simhash, licenses, quality_rules, toxicity, quality_pu, warc_store]
 
 
 def queries() -> dict:

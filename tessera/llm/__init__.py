@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from . import licenses, quality_pu, quality_rules, simhash, sp_dropout, token_counts, toxicity, warc_store
+from . import decontam, licenses, paragraph_dedup, quality_pu, quality_rules, simhash, sp_dropout, token_counts, toxicity, warc_store
 
-_MODULES = [simhash, licenses, quality_rules, sp_dropout, toxicity, token_counts, quality_pu, warc_store]
+_MODULES = [simhash, licenses, decontam, quality_rules, sp_dropout, toxicity, token_counts, quality_pu, paragraph_dedup, warc_store]
 
 
 def queries() -> dict:

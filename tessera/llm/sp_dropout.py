@@ -24,8 +24,8 @@ from .rows import map_texts
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 SPACE = "▁"
 NORMAL, BYTE = 1, 6
-M64 = (1 << 64) - 1
-CACHE = 40_000
+M64, M32 = (1 << 64) - 1, (1 << 32) - 1
+CACHE = 300_000
 
 
 def _varint(data: bytes, at: int) -> tuple[int, int]:
@@ -76,6 +76,9 @@ class Pieces:
             if k == BYTE:
                 self.byte[int(t[3:5], 16)] = i
         self.raw = [bytes([int(t[3:5], 16)]) if k == BYTE else t.replace(SPACE, " ").encode() if k == NORMAL else b"" for t, k in zip(self.text, self.kind, strict=True)]
+        #: Whether ids rank pieces, but for runs of spaces, as their scores do.
+        ranked = [self.score[i] for t, i in self.ids.items() if len(t) > 1 and t.strip(SPACE)]
+        self.ordered = all(a > b for a, b in zip(ranked, ranked[1:]))
         crossing = any(re.search(f"[^{SPACE}]{SPACE}", t) for t in self.ids)
         #: No merge crosses from a word to the space after it, so segments can be encoded one by one.
         self.cut = re.compile("(?s).+" if crossing else f"{SPACE}+[^{SPACE}]*|[^{SPACE}]+")
@@ -86,8 +89,35 @@ def pieces(path: str) -> Pieces:
     return Pieces(path)
 
 
-def merge(vocabulary: Pieces, segment: str, key: int, skip: int) -> tuple[int, ...]:
-    """Ids of one segment; a candidate merge is skipped where its hash under ``key`` is below ``skip`` of 2^64."""
+def skipped(key: int, left: int, found: int, skip: int) -> bool:
+    """Whether the merge to piece ``found`` that begins at symbol ``left`` is skipped: its hash under ``key`` is below ``skip`` of 2^32."""
+    return ((key ^ left * 0x85EBCA77 ^ found * 0xC2B2AE3D) & M32) * 0x9E3779B97F4A7C15 >> 32 & M32 < skip
+
+
+def merge_short(vocabulary: Pieces, segment: str, key: int, skip: int) -> list[str]:
+    """As ``merge_long``, with the agenda as a plain list: quicker for few symbols."""
+    get, none = vocabulary.ids.get, len(vocabulary.text)
+    symbol, place = list(segment), list(range(len(segment)))
+    agenda = [get(a + b, none) for a, b in zip(symbol, symbol[1:])]
+    while agenda:
+        found = min(agenda)
+        if found == none:
+            break
+        i = agenda.index(found)
+        if skip and ((key ^ place[i] * 0x85EBCA77 ^ found * 0xC2B2AE3D) & M32) * 0x9E3779B97F4A7C15 >> 32 & M32 < skip:
+            agenda[i] = none
+            continue
+        symbol[i] += symbol[i + 1]
+        del symbol[i + 1], place[i + 1], agenda[i]
+        if i < len(agenda):
+            agenda[i] = get(symbol[i] + symbol[i + 1], none)
+        if i:
+            agenda[i - 1] = get(symbol[i - 1] + symbol[i], none)
+    return symbol
+
+
+def merge_long(vocabulary: Pieces, segment: str, key: int, skip: int) -> list[str]:
+    """The symbols that are left when every candidate merge, best score and leftmost first, was made or skipped."""
     n, ids, score = len(segment), vocabulary.ids, vocabulary.score
     symbol: list[str] = list(segment)
     after, before = list(range(1, n + 1)), list(range(-1, n - 1))
@@ -103,12 +133,8 @@ def merge(vocabulary: Pieces, segment: str, key: int, skip: int) -> tuple[int, .
         _, left, right, found = heapq.heappop(agenda)
         if not symbol[left] or after[left] != right or vocabulary.text[found] != symbol[left] + symbol[right]:
             continue
-        if skip:
-            h = (key ^ (left * 0x9E3779B97F4A7C15) ^ (right * 0xC2B2AE3D27D4EB4F) ^ (found * 0x165667B19E3779F9)) & M64
-            h = (h ^ (h >> 31)) * 0xBF58476D1CE4E5B9 & M64
-            h = (h ^ (h >> 29)) * 0x94D049BB133111EB & M64
-            if h ^ (h >> 32) < skip:
-                continue
+        if skip and skipped(key, left, found, skip):
+            continue
         symbol[left] += symbol[right]
         symbol[right] = ""
         after[left] = after[right]
@@ -116,25 +142,30 @@ def merge(vocabulary: Pieces, segment: str, key: int, skip: int) -> tuple[int, .
             before[after[right]] = left
         propose(before[left], left)
         propose(left, after[left])
+    return [s for s in symbol if s]
+
+
+def merge(vocabulary: Pieces, segment: str, key: int, skip: int) -> tuple[int, ...]:
+    """Ids of one segment; symbols that are no piece become byte pieces."""
+    symbols = (merge_short if len(segment) <= 24 and vocabulary.ordered and segment[1:2] != SPACE else merge_long)(vocabulary, segment, key, skip)
     out: list[int] = []
-    i = 0
-    while i < n:
-        if (found := ids.get(symbol[i])) is not None:
+    for s in symbols:
+        found = vocabulary.ids.get(s)
+        if found is not None:
             out.append(found)
         else:
-            out += [vocabulary.byte[b] for b in symbol[i].encode()]
-        i = after[i]
+            out += [vocabulary.byte[b] for b in s.encode()]
     return tuple(out)
 
 
 class Encoder:
     """Encodes whole texts; the same seed, key and text always give the same ids."""
 
-    def __init__(self, path: str = MODEL, dropout: float = 0.1, seed: int = 0, variants: int = 8):
+    def __init__(self, path: str = MODEL, dropout: float = 0.1, seed: int = 0, variants: int = 2):
         if not 0 <= dropout < 1:
             raise ValueError("dropout is a probability under 1")
         self.vocabulary, self.seed, self.variants = pieces(path), seed, variants if dropout else 1
-        self.skip = int(dropout * (1 << 64))
+        self.skip = int(dropout * (1 << 32))
         self.known: list[dict[str, tuple[int, ...]]] = [{} for _ in range(self.variants)]
 
     def segment_ids(self, segment: str, variant: int) -> tuple[int, ...]:
@@ -179,7 +210,7 @@ class Encoder:
         return b"".join([raw[i] for i in ids])[1:].decode(errors="replace")
 
 
-def encode(df: DataFrame, key: str = "doc_id", text: str = "text", path: str = MODEL, dropout: float = 0.1, seed: int = 0, variants: int = 8, extra: list[str] = (), keep_ids: bool = True) -> DataFrame:
+def encode(df: DataFrame, key: str = "doc_id", text: str = "text", path: str = MODEL, dropout: float = 0.1, seed: int = 0, variants: int = 2, extra: list[str] = (), keep_ids: bool = True) -> DataFrame:
     """(key, *extra, ids, n_pieces, n_byte_pieces, ids_digest, lossless) of every whole text.
 
     ids_digest is the XXH64 of the ids as little-endian 32-bit numbers, in hex;

@@ -29,8 +29,15 @@ def test_dropout_is_lossless_seeded_and_varied(spark):
     assert longer > 100
     x = "segmentation of one sentence " * 30
     assert other.encode(x, 7) != one.encode(x, 7)
-    assert len({one.segment_ids("▁segmentation", v) for v in range(8)}) > 1
-    assert s.merge(one.vocabulary, "▁abc", 1, (1 << 64) - 1) == tuple(one.vocabulary.ids[c] for c in "▁abc")
+    assert len({one.segment_ids("▁segmentation", v) for v in range(2)}) > 1 or len({other.segment_ids("▁segmentation", v) for v in range(2)}) > 1
+    assert s.merge(one.vocabulary, "▁abc", 1, 1 << 32) == tuple(one.vocabulary.ids[c] for c in "▁abc")
+
+
+def test_short_and_long_agendas_agree(spark):
+    v = s.pieces(s.MODEL)
+    assert v.ordered
+    for i, x in enumerate(" ".join(sample(spark, 40)).split()[:3000]):
+        assert s.merge_short(v, "▁" + x, i, 1 << 30) == s.merge_long(v, "▁" + x, i, 1 << 30)
 
 
 def test_encode_rows(spark):

@@ -25,6 +25,8 @@ PASS_CHARS = 4_000_000
 #: Characters of documents and shared q-grams held at a time; both only bound memory.
 BATCH_CHARS, HITS = 1_000_000, 2_000_000
 Q_MOST = 8
+#: Bands of a document: up to four million, some of them before its first character.
+LAST_BAND, BEFORE = (1 << 22) - 1, 1 << 12
 _TABLES: dict[str, np.ndarray] = {}
 
 
@@ -109,14 +111,6 @@ def banded_distance(item: np.ndarray, part: np.ndarray, limit: int, shift: int =
     return int(cost[at]), int(start[at]), int(j[at])
 
 
-def _sum_by_key(key: np.ndarray, count: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The distinct columns of ``key``, each with the sum of its counts."""
-    order = np.lexsort(key[::-1])
-    key, count = key[:, order], count[order]
-    new = np.flatnonzero(np.append(True, (key[:, 1:] != key[:, :-1]).any(0)))
-    return key[:, new], np.add.reduceat(count, new)
-
-
 class Index:
     """The q-grams of benchmark items, by q and sorted by code, with a bitmap for a first look."""
 
@@ -142,7 +136,7 @@ class Index:
             seen[code >> np.uint64(64 - min(bits, 27))] = True
             self.by_q[q] = (code[order], item[order], place[order], seen, np.uint64(64 - min(bits, 27)))
 
-    def regions(self, x: np.ndarray, doc: np.ndarray) -> set[tuple[int, int, int, int]]:
+    def regions(self, x: np.ndarray, doc: np.ndarray, offset: np.ndarray) -> set[tuple[int, int, int, int]]:
         """(document, item, first diagonal, number of diagonals) of bands that reach their item's bound."""
         found = set()
         for q, (code, item, place, seen, shift) in self.by_q.items():
@@ -156,27 +150,35 @@ class Index:
             counted = []
             for part in np.split(np.arange(len(at)), np.flatnonzero(np.diff(np.cumsum(times) // HITS)) + 1):
                 if len(part):
-                    counted.append(self._bands(doc, at[part], lo[part], times[part], item, place))
+                    counted.append(self._bands(doc, offset, at[part], lo[part], times[part], item, place))
             if not counted:
                 continue
-            key, count = np.concatenate([c[0] for c in counted], 1), np.concatenate([c[1] for c in counted])
+            code, count = np.concatenate([c[0] for c in counted]), np.concatenate([c[1] for c in counted])
             if len(counted) > 1:
-                key, count = _sum_by_key(key, count)
-            for s in np.flatnonzero(count >= self.need[key[1]]):
-                d, i, side, b = key[:, s].tolist()
+                code, back = np.unique(code, return_inverse=True)
+                count = np.bincount(back, count)
+            who, i = np.divmod(code >> 23, len(self.ids))
+            good = np.flatnonzero(count >= self.need[i])
+            for d, i, side, b in zip(who[good].tolist(), i[good].tolist(), (code[good] >> 22 & 1).tolist(), (code[good] & LAST_BAND).tolist(), strict=True):
                 w = int(2 * self.k[i] + 1)
-                found.add((d, i, b * 2 * w - side * w, 2 * w))
+                found.add((d, i, (b - BEFORE) * 2 * w - side * w, 2 * w))
         return found
 
-    def _bands(self, doc: np.ndarray, at: np.ndarray, lo: np.ndarray, times: np.ndarray, item: np.ndarray, place: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Counts of shared q-grams by (document, item, side, band). Bands are twice as wide as an occurrence; those of the
+    def _bands(self, doc: np.ndarray, offset: np.ndarray, at: np.ndarray, lo: np.ndarray, times: np.ndarray, item: np.ndarray, place: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(code, count): q-grams shared by (document, item, side, band), all four in one number. Bands are twice as wide as an occurrence; those of the
         two sides overlap by half, so that one band holds all of it."""
         source = np.repeat(at, times)
         hit = np.repeat(lo - np.concatenate([[0], np.cumsum(times)[:-1]]), times) + np.arange(len(source))
         it, diagonal = item[hit], source - place[hit]
         half, owner = 2 * self.k[it] + 1, doc[source]
-        sides = [np.stack([owner, it, np.full(len(it), side), (diagonal + side * half) // (2 * half)]) for side in (0, 1)]
-        return _sum_by_key(np.concatenate(sides, 1), np.ones(2 * len(it), np.int64))
+        diagonal -= offset[owner]
+        code = (owner * len(self.ids) + it) << 23
+        codes = np.concatenate([code | side << 22 | ((diagonal + side * half) // (2 * half) + BEFORE) for side in (0, 1)])
+        spot = np.concatenate([place[hit]] * 2)
+        order = np.lexsort((spot, codes))
+        codes, spot = codes[order], spot[order]
+        once = np.append(True, (codes[1:] != codes[:-1]) | (spot[1:] != spot[:-1]))  # each of the item's q-grams counts once
+        return np.unique(codes[once], return_counts=True)
 
     def search(self, texts: list[str | None]) -> list[tuple[int, int, int, int, int]]:
         """(row, item id, start, end, edits) of the best occurrence of each item in each text; start and end are characters."""
@@ -196,10 +198,10 @@ class Index:
         whole = np.concatenate([y for _, x, _ in todo for y in (x, gap)]) if todo else gap
         offset = np.cumsum([0] + [len(x) + Q_MOST for _, x, _ in todo])
         doc = np.repeat(np.arange(len(todo)), np.diff(offset))
-        for d, i, diagonal, width in sorted(self.regions(whole, doc)):
+        for d, i, diagonal, width in sorted(self.regions(whole, doc, offset)):
             row, x, at = todo[d]
             item, k = self.texts[i], int(self.k[i])
-            first = diagonal - int(offset[d]) - k
+            first = diagonal - k
             lo = max(0, first)
             part = x[lo : max(lo, first + width + 2 * k + len(item) + k)]
             if (row, i) in best and best[row, i][0] == 0:

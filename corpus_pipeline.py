@@ -3,18 +3,48 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tessera.llm import simhash
+from tessera.llm import decontam, paragraph_dedup, simhash, sp_dropout, toxicity
 from tessera.llm.shared import materialise
 
 
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose expected severity comes from a grade over 0 that is at least as likely as not go."""
+    model = toxicity.fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    others = [c for c in docs.columns if c not in ("doc_id", "text")]
+    scored = toxicity.score(docs.withColumn("_text", F.col("text")), model, extra=["_text", *others])
+    return scored.where("p_toxic < 0.5").withColumnRenamed("_text", "text").select(*docs.columns)
+
+
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies stays."""
     return simhash.keep_one(docs)
 
 
+def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Passages that an earlier document has too are cut out; documents left without a word go."""
+    return paragraph_dedup.remove_repeats(docs)
+
+
+def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents in which a benchmark item occurs go."""
+    return decontam.decontaminate(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+def tokenise(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The ids of each document; they decode to its text exactly."""
+    return sp_dropout.encode(docs, extra=["lang", "source"])
+
+
 #: (name, function); each function takes (spark, docs, sf_dir) and returns a DataFrame.
-STAGES = [("simhash_near_dedup", near_dedup)]
+STAGES = [
+    ("toxicity", drop_toxic),
+    ("simhash_near_dedup", near_dedup),
+    ("substring_dedup", substring_dedup),
+    ("benchmark_decontamination", decontaminate),
+    ("sentencepiece_encoding", tokenise),
+]
 
 #: SQL can't express the fingerprints, models and alignments of these stages.
 ORACLE_SQL = None

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..functions.geometry import bbox_join, boxes_meet, clip_segments_to_box, clip_to_polygon, point_at_fraction, representative_point, segments
 from ..functions.text import candidate_phrases
 from ..operators.admin import BOX, KEYS, bbox_rollup, build_catalog, key_cascade, resolve_hierarchy, resolve_names, with_keys
+from ..operators.lineage import cut
 from ..operators.fallback import row_fraction, roads_in_areas, weighted_sample
 from ..operators.results import apply_retry, unresolved
 from ..operators.roads import exploded_phrases, road_layer, street_match
@@ -35,30 +36,32 @@ def geocode_levels(rows: DataFrame, admin: DataFrame, roads: DataFrame, seed: in
     or the city. Streets compete among all roads of the city's box; a street
     with nothing inside the city makes the next phrase be tried.
     """
-    catalog = build_catalog(admin)
+    catalog = {level: cut(area) for level, area in build_catalog(admin).items()}
     rows = resolve_hierarchy(rows, catalog)
     cities = catalog["kabkota"].withColumnsRenamed({"province_key": "r_province", "kabkota_key": "r_kabkota"})
     known = rows.where("r_province is not null and r_kabkota is not null")
     wanted = cities.join(known.select(*JOB).distinct(), JOB, "left_semi")
     near = job_roads(wanted, roads, JOB, cell)
-    layer = road_layer(near, JOB)
-    phrases = exploded_phrases(known, "source_row", "address", JOB)
-    clipped = _usable(layer.join(phrases.select(*JOB).distinct(), JOB, "left_semi"), wanted, layer, JOB)
+    layer = cut(road_layer(near, JOB))
+    phrases = cut(exploded_phrases(known, "source_row", "address", JOB))
+    clipped = cut(_usable(layer.join(phrases.select(*JOB).distinct(), JOB, "left_semi"), wanted, layer, JOB))
     usable = phrases.select("source_row", *JOB).distinct().join(clipped, JOB).select("source_row", "road_name")
-    street = street_match(phrases, layer, "source_row", JOB, min_score, min_margin, True, usable)
+    street = cut(street_match(phrases, layer, "source_row", JOB, min_score, min_margin, True, usable))
     halves = segments(clipped.withColumnRenamed("clipped", "_c"), "_c", [*JOB, "road_name"])
     middle = point_at_fraction(halves, [*JOB, "road_name"], ["part", "seg"], F.lit(0.5)).drop("total")
     matched = known.select("source_row", *JOB).join(street, "source_row").where("matched").join(middle, [*JOB, "road_name"], "left")
+    matched = cut(matched)
     rest = known.join(matched.select("source_row"), "source_row", "left_anti")
     areas = []
     for n, (level, depth, keys) in enumerate(((LEVELS[0], "kelurahan", ["r_province", "r_kabkota", "r_kecamatan_of", "r_kelurahan"]), (LEVELS[1], "kecamatan", ["r_province", "r_kabkota", "r_kecamatan"]), (LEVELS[2], "kabkota", JOB)), 1):
         area = catalog[depth].withColumnsRenamed(dict(zip(KEYS, keys))).withColumn("area_key", F.concat_ws("\t", F.lit(level), *keys))
         areas.append(rest.join(area.select(*keys, "area_key", "rings", *BOX), keys).select(*rest.columns, F.lit(n).alias("level_rank"), F.lit(level).alias("level"), "area_key", "rings", *BOX))
-    tries = areas[0].unionByName(areas[1]).unionByName(areas[2])
-    pieces = roads_in_areas(tries.select("area_key", "rings", *BOX).dropDuplicates(["area_key"]), roads, "area_key", cell)
+    tries = cut(areas[0].unionByName(areas[1]).unionByName(areas[2]))
+    pieces = cut(roads_in_areas(tries.select("area_key", "rings", *BOX).dropDuplicates(["area_key"]), roads, "area_key", cell))
     have = pieces.select("area_key").distinct()
     order = Window.partitionBy("source_row").orderBy("level_rank")
     chosen = tries.join(have, "area_key", "left_semi").withColumn("_r", F.row_number().over(order)).where("_r = 1").withColumn("fraction", row_fraction(F.col("level"), seed, exact_fractions))
+    chosen = cut(chosen)
     drawn = pieces.join(chosen.select("source_row", "area_key", "fraction"), "area_key")
     points = weighted_sample(drawn, ["source_row"], ["road_id", "part", "seg"], F.col("fraction")).drop("total")
     sampled = chosen.select("source_row", "level").join(points, "source_row")
@@ -97,14 +100,16 @@ def geocode_boxes(rows: DataFrame, boxes: DataFrame, roads: DataFrame, min_score
     if strict:
         resolved = resolved.withColumn("r_kabkota", F.coalesce("r_kabkota", F.raise_error(F.concat(F.lit("no boundary for "), F.coalesce("kabkota", F.lit("null"))))))
     job = ["r_kabkota"]
+    resolved = cut(resolved)
     known = resolved.where("r_kabkota is not null")
     areas = boxes.withColumnRenamed("kabkota_key", "r_kabkota").join(known.select(*job).distinct(), job, "left_semi")
-    layer = road_layer(job_roads(areas, roads, job, cell), job)
-    phrases = exploded_phrases(known, "source_row", "address", job)
+    layer = cut(road_layer(job_roads(areas, roads, job, cell), job))
+    phrases = cut(exploded_phrases(known, "source_row", "address", job))
     parts = layer.join(areas, job)
     inside = clip_segments_to_box(segments(parts, "parts", [*job, "road_name", *BOX])).groupBy(*job, "road_name").agg(F.transform(F.sort_array(F.collect_list(F.struct("part", "seg", "x1", "y1", "x2", "y2"))), lambda s: F.array(F.struct(s["x1"].alias("x"), s["y1"].alias("y")), F.struct(s["x2"].alias("x"), s["y2"].alias("y")))).alias("pieces"))
+    inside = cut(inside)
     usable = phrases.select("source_row", *job).distinct().join(inside.select(*job, "road_name"), job).select("source_row", "road_name")
-    street = street_match(phrases, layer, "source_row", job, min_score, min_margin, False, usable)
+    street = cut(street_match(phrases, layer, "source_row", job, min_score, min_margin, False, usable))
     points = inside.withColumn("_p", representative_point(F.col("pieces"))).select(*job, "road_name", "_p")
     out = resolved.join(street, "source_row", "left").join(points, [*job, "road_name"], "left")
     ok, no_phrase = F.coalesce(F.col("matched"), F.lit(False)), F.size(candidate_phrases(F.col("address"))) == 0

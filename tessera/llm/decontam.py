@@ -18,6 +18,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
+from .shared import materialise
+
 #: Edits allowed per hundred characters of a normalised item.
 BUDGET = 10
 #: Benchmark characters searched for in one pass; a larger benchmark takes more passes.
@@ -259,6 +261,7 @@ def contaminated(documents: DataFrame, benchmark: DataFrame, key: str = "doc_id"
 def decontaminate(documents: DataFrame, benchmark: DataFrame, key: str = "doc_id", **options) -> DataFrame:
     """The documents in which no benchmark item occurs; rows without a key stay."""
     found = contaminated(documents.where(F.col(key).isNotNull()), benchmark, key, **options).select(F.col(key).alias("_found")).distinct()
+    found = materialise(found, "contaminated")  # of known size, so that Spark can broadcast it where it is small
     return documents.join(found, documents[key] == F.col("_found"), "left_anti")
 
 

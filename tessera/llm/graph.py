@@ -22,7 +22,7 @@ def _small_star(edges: DataFrame) -> DataFrame:
 
 
 def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
-    """(node, root) for every node of ``edges``; root is the smallest node of its component.
+    """(node, root) for every node of ``edges``; root is the smallest node of its component. A written table.
 
     ``edges`` has two comparable columns ``a`` and ``b``; direction, loops and
     repeats don't matter, rows with a null end are ignored, no edges give no
@@ -47,4 +47,6 @@ def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     else:
         raise RuntimeError(f"components did not settle in {max_rounds} rounds")
     roots = now.select(F.col("b").alias("node")).distinct()
-    return now.select(F.col("a").alias("node"), F.col("b").alias("root")).union(roots.select("node", F.col("node").alias("root")))
+    found = materialise(now.select(F.col("a").alias("node"), F.col("b").alias("root")).union(roots.select("node", F.col("node").alias("root"))), "roots")
+    discard(now)
+    return found

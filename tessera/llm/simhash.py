@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from .blocks import block_links
 from .graph import connected_components
-from .shared import materialise
+from .shared import discard, materialise
 
 SEED = 42
 CHUNK = 255 * 256
@@ -94,7 +94,7 @@ def grid_cells(fps: DataFrame, bits: int, parts: int, radius: int) -> tuple[Data
 
 
 def hamming_links(fps: DataFrame, limit: int = 3, bits: int = 2, parts: int = 2, hot: int = 2000) -> DataFrame:
-    """(a, b): links between distinct fingerprints ``fp``, enough that components are exact.
+    """(a, b): links between distinct fingerprints ``fp``, enough that components are exact. The links are a written table.
 
     Cells of up to ``hot`` members are joined; the members of larger cells are
     compared in block pairs that return a spanning forest, so no cell ever
@@ -121,6 +121,8 @@ def hamming_links(fps: DataFrame, limit: int = 3, bits: int = 2, parts: int = 2,
             return np.bitwise_count(x[:, None] ^ x[None, :]) <= limit
 
         pairs = pairs.union(block_links(members, close, "fp"))
+    pairs = materialise(pairs, "links")
+    discard(own, crowded)
     return pairs
 
 
@@ -136,10 +138,12 @@ def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text", limi
     """
     fps = materialise(fingerprints(df, key, text, shingle).select(F.col(key).alias("key"), "fp"), "fingerprints")
     distinct = materialise(fps.groupBy("fp").agg(F.min("key").alias("low")), "distinct")
-    roots = connected_components(hamming_links(distinct.select("fp"), limit, bits, parts))
+    links = hamming_links(distinct.select("fp"), limit, bits, parts)
+    roots = connected_components(links)
     placed = distinct.join(roots.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
     lowest = placed.groupBy("root").agg(F.min("low").alias("component_id"))
     of = materialise(placed.join(lowest, "root").select("fp", "component_id"), "components")
+    discard(distinct, links, roots)
     return fps.join(of, "fp").select(F.col("key").alias(key), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 

@@ -11,13 +11,15 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .rows import labelled_sample, map_texts
 
 #: Labelled documents of each class that a model is fitted on, at most.
-PER_CLASS = 4000
+PER_CLASS = 2000
+CACHE = 200_000
 EDGE = "".join(chr(c) for c in range(33, 127) if not chr(c).isalnum())
 
 
@@ -26,61 +28,57 @@ def words_of(text: bytes | None) -> list[str]:
     return [w for x in (text or b"").decode().lower().split() if (w := x.strip(EDGE))]
 
 
-def features(words: set[str]) -> set[str]:
-    """Sparse binary features: words, and word beginnings of three to five letters."""
-    return words | {f"{w[:n]}*" for w in words for n in (3, 4, 5) if len(w) > n}
+def features(word: str) -> tuple[int, ...]:
+    """Sparse binary features of a word, as 32-bit hashes: the word, and its beginnings of three to five letters."""
+    return tuple(xxhash.xxh32_intdigest(x) for x in (word, *(f"{word[:n]}*" for n in (3, 4, 5) if len(word) > n)))
 
 
 @dataclass
 class OrdinalModel:
     """Weights by feature and ordered thresholds."""
 
-    weights: dict[str, float] = field(default_factory=dict)
+    weights: dict[int, float] = field(default_factory=dict)
     thresholds: list[float] = field(default_factory=lambda: [math.inf])
+    known: dict[str, tuple[int, ...]] = field(default_factory=dict, repr=False, compare=False)
 
     def at_least(self, words: set[str]) -> list[float]:
         """P(grade >= k) for k = 1, 2, ..."""
-        w = self.weights
-        found = {f for x in words if (x[:3] + "*" in self.starts or x in w) for f in (x, x[:3] + "*" if len(x) > 3 else "", x[:4] + "*" if len(x) > 4 else "", x[:5] + "*" if len(x) > 5 else "") if f in w}
+        w, known, found = self.weights, self.known, set()
+        for x in words:
+            if (own := known.get(x)) is None:
+                if len(known) >= CACHE:
+                    known.clear()
+                known[x] = own = tuple(f for f in features(x) if f in w)
+            if own:
+                found.update(own)
         z = sum(w[f] for f in sorted(found))
         return [1 / (1 + math.exp(min(700.0, max(-700.0, t - z)))) for t in self.thresholds]
 
-    def __post_init__(self):
-        self.starts = {f[:3] + "*" for f in self.weights}
-
-
-def select_features(docs: list[list[str]], positive: np.ndarray, weight: np.ndarray, least_docs: int = 3, lift: float = 4.0, most: int = 4096) -> list[str]:
-    """Features in ``least_docs`` documents or more whose rate among graded documents is ``lift`` times that of others; the most significant come first."""
-    index: dict[str, int] = {}
-    rows, cols = [], []
-    for i, d in enumerate(docs):
-        for f in d:
-            rows.append(i)
-            cols.append(index.setdefault(f, len(index)))
-    if not index:
-        return []
-    rows, cols = np.array(rows), np.array(cols)
+
+def select_features(docs: list[np.ndarray], positive: np.ndarray, weight: np.ndarray, least_docs: int = 3, lift: float = 4.0, most: int = 4096) -> np.ndarray:
+    """Features in ``least_docs`` positive documents or more whose rate among those is ``lift`` times that of others; the most significant ones."""
+    names, cols = np.unique(np.concatenate(docs), return_inverse=True)
+    share = np.repeat(weight, [len(d) for d in docs])
+    of = np.repeat(positive, [len(d) for d in docs])
     n1, n0 = max(1.0, float((weight * positive).sum())), max(1.0, float((weight * ~positive).sum()))
-    a = np.bincount(cols, (weight * positive)[rows], len(index))
-    b = np.bincount(cols, (weight * ~positive)[rows], len(index))
-    times = np.bincount(cols[positive[rows]], minlength=len(index))
-    odds = np.log((a + 0.5) / (n1 - a + 0.5)) - np.log((b + 0.5) / (n0 - b + 0.5))
+    a, b = np.bincount(cols[of], share[of], len(names)), np.bincount(cols[~of], share[~of], len(names))
+    times = np.bincount(cols[of], minlength=len(names))
+    odds = np.log((a + 0.5) / np.maximum(n1 - a, 0.5)) - np.log((b + 0.5) / np.maximum(n0 - b, 0.5))
     z = odds / np.sqrt(1 / (a + 0.5) + 1 / (b + 0.5))
-    good = (times >= least_docs) & ((a + 0.5) / n1 >= lift * (b + 0.5) / n0) & (z > 2)
-    names = np.array(list(index), dtype=object)[good]
-    order = sorted(range(len(names)), key=lambda i: (-z[good][i], names[i]))
-    return [names[i] for i in order[:most]]
+    good = np.flatnonzero((times >= least_docs) & ((a + 0.5) / n1 >= lift * (b + 0.5) / n0) & (z > 2))
+    return names[good[np.lexsort((names[good], -z[good]))][:most]]
 
 
-def fit_ordinal(docs: list[list[str]], grades: np.ndarray, weight: np.ndarray, ridge: float = 1e-5, steps: int = 600) -> OrdinalModel:
+def fit_ordinal(docs: list[np.ndarray], grades: np.ndarray, weight: np.ndarray, ridge: float = 1e-5, steps: int = 600) -> OrdinalModel:
     """Maximum likelihood of the cumulative-link model by full-batch Adam. With fewer than two grades nothing is ever graded."""
     k = int(grades.max()) if len(grades) else 0
-    names = select_features(docs, grades > 0, weight) if k else []
-    if not names:
+    names = np.sort(select_features(docs, grades > 0, weight)) if k else np.zeros(0, np.uint32)
+    if not len(names):
         return OrdinalModel()
-    index = {f: i for i, f in enumerate(names)}
-    pairs = [(i, index[f]) for i, d in enumerate(docs) for f in d if f in index]
-    rows, cols = np.array([p[0] for p in pairs]), np.array([p[1] for p in pairs])
+    flat, rows = np.concatenate(docs), np.repeat(np.arange(len(docs)), [len(d) for d in docs])
+    cols = np.minimum(np.searchsorted(names, flat), len(names) - 1)
+    known = names[cols] == flat
+    rows, cols = rows[known], cols[known]
     w, share = np.zeros(len(names)), weight / weight.sum()
     p = np.concatenate([w, [2.0], np.full(k - 1, 0.5)])  # weights, first threshold, logs of the steps between thresholds
     m, v = np.zeros_like(p), np.zeros_like(p)
@@ -103,39 +101,45 @@ def fit_ordinal(docs: list[list[str]], grades: np.ndarray, weight: np.ndarray, r
         p = p - 0.05 * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.999**step)) + 1e-8)
     w, gaps = p[: len(names)], np.exp(p[len(names) + 1 :])
     t = p[len(names)] + np.concatenate([[0.0], np.cumsum(gaps)])
-    return OrdinalModel({f: float(x) for f, x in zip(names, w, strict=True)}, [float(x) for x in t])
+    return OrdinalModel({int(f): float(x) for f, x in zip(names, w, strict=True)}, [float(x) for x in t])
+
 
+def severity(words: list[np.ndarray], times: list[np.ndarray], toxic: np.ndarray, weight: np.ndarray, cuts: tuple[float, ...] = (2.0, 4.0)) -> np.ndarray:
+    """Grades from a yes/no label: 0 for no; for yes 1, 2, 3 by how many of a hundred words are words that the label marks.
 
-def severity(docs: list[list[str]], counts: list[dict[str, int]], toxic: np.ndarray, weight: np.ndarray, cuts: tuple[float, ...] = (2.0, 4.0)) -> np.ndarray:
-    """Grades from a yes/no label: 0 for no; for yes 1, 2, 3 by how many of a hundred words are words that the label marks."""
-    marked = {f for f in select_features(docs, toxic, weight, lift=20.0) if not f.endswith("*")}
-    rate = np.array([100 * sum(n for w, n in c.items() if w in marked) / max(1, sum(c.values())) for c in counts])
+    words: hashes of each document's distinct words; times: how often each occurs.
+    """
+    marked = select_features(words, toxic, weight, lift=20.0)
+    rate = np.array([100 * t[np.isin(w, marked)].sum() / max(1, t.sum()) for w, t in zip(words, times, strict=True)])
     return np.where(toxic, 1 + np.searchsorted(np.array(cuts), rate), 0)
 
 
 def fit(documents: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", label: str = "toxic", per_class: int = PER_CLASS) -> OrdinalModel:
     """Fit on up to ``per_class`` labelled documents of each class; yes/no labels become grades, larger ones are grades already."""
     chosen = labelled_sample(labels, label, key, per_class)
-    rows = documents.select(key, text).join(F.broadcast(chosen), key)  # 2 * per_class rows of three numbers, or per_class for each grade
+    rows = documents.select(key, text).join(F.broadcast(chosen), key)  # per_class rows of three numbers for each class
 
     def count(texts: list) -> dict[str, pa.Array]:
-        words, times = [], []
+        found, words, times = [], [], []
         for t in texts:
             c: dict[str, int] = {}
             for w in words_of(t):
                 c[w] = c.get(w, 0) + 1
-            words.append(list(c))
-            times.append(list(c.values()))
-        return {"words": pa.array(words, pa.list_(pa.string())), "times": pa.array(times, pa.list_(pa.int32()))}
-
-    got = map_texts(rows, key, text, count, "words array<string>, times array<int>", ["label", "weight"]).toArrow()
-    order = sorted(range(got.num_rows), key=lambda i: (got[key][i].as_py(), i))
-    words, times = got["words"].take(order).to_pylist(), got["times"].take(order).to_pylist()
-    grade, weight = np.array(got["label"].take(order).to_pylist(), int), np.array(got["weight"].take(order).to_pylist(), float)
-    docs = [sorted(features(set(w))) for w in words]
+            each = [features(w) for w in c]
+            found.append(np.unique(np.array([f for fs in each for f in fs], np.uint32)).view(np.int32))
+            words.append(np.array([fs[0] for fs in each], np.uint32).view(np.int32))
+            times.append(np.array(list(c.values()), np.int32))
+        return {n: pa.array(x, pa.list_(pa.int32())) for n, x in (("found", found), ("words", words), ("times", times))}
+
+    got = map_texts(rows, key, text, count, "found array<int>, words array<int>, times array<int>", ["label", "weight"]).toArrow()
+    keys = np.array(got[key].to_pylist())
+    order = pa.array(np.lexsort((np.array(got["words"].combine_chunks().value_lengths()), keys)) if len(keys) else np.zeros(0, int))
+    got = got.take(order)
+    arrays = lambda c, kind: [x.values.to_numpy().view(kind) for x in got[c]]
+    grade, weight = np.array(got["label"].to_pylist(), int), np.array(got["weight"].to_pylist(), float)
     if len(grade) and grade.max() == 1:
-        grade = severity(docs, [dict(zip(w, t, strict=True)) for w, t in zip(words, times, strict=True)], grade > 0, weight)
-    return fit_ordinal(docs, grade, weight)
+        grade = severity(arrays("words", np.uint32), arrays("times", np.int32), grade > 0, weight)
+    return fit_ordinal(arrays("found", np.uint32), grade, weight)
 
 
 def score(documents: DataFrame, model: OrdinalModel, key: str = "doc_id", text: str = "text", extra: list[str] = ()) -> DataFrame:

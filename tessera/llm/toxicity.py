@@ -69,7 +69,7 @@ def select_features(docs: list[np.ndarray], positive: np.ndarray, weight: np.nda
     return names[good[np.lexsort((names[good], -z[good]))][:most]]
 
 
-def fit_ordinal(docs: list[np.ndarray], grades: np.ndarray, weight: np.ndarray, ridge: float = 1e-5, steps: int = 600) -> OrdinalModel:
+def fit_ordinal(docs: list[np.ndarray], grades: np.ndarray, weight: np.ndarray, ridge: float = 1e-4, steps: int = 600) -> OrdinalModel:
     """Maximum likelihood of the cumulative-link model by full-batch Adam. With fewer than two grades nothing is ever graded."""
     k = int(grades.max()) if len(grades) else 0
     names = np.sort(select_features(docs, grades > 0, weight)) if k else np.zeros(0, np.uint32)
@@ -104,14 +104,14 @@ def fit_ordinal(docs: list[np.ndarray], grades: np.ndarray, weight: np.ndarray,
     return OrdinalModel({int(f): float(x) for f, x in zip(names, w, strict=True)}, [float(x) for x in t])
 
 
-def severity(words: list[np.ndarray], times: list[np.ndarray], toxic: np.ndarray, weight: np.ndarray, cuts: tuple[float, ...] = (2.0, 4.0)) -> np.ndarray:
-    """Grades from a yes/no label: 0 for no; for yes 1, 2, 3 by how many of a hundred words are words that the label marks.
+def severity(words: list[np.ndarray], toxic: np.ndarray, weight: np.ndarray, cuts: tuple[int, ...] = (2, 5)) -> np.ndarray:
+    """Grades from a yes/no label: 0 for no; for yes 1, 2, 3 by how many different words a document has that the label marks.
 
-    words: hashes of each document's distinct words; times: how often each occurs.
+    words: hashes of each document's distinct words.
     """
     marked = select_features(words, toxic, weight, lift=20.0)
-    rate = np.array([100 * t[np.isin(w, marked)].sum() / max(1, t.sum()) for w, t in zip(words, times, strict=True)])
-    return np.where(toxic, 1 + np.searchsorted(np.array(cuts), rate), 0)
+    found = np.array([np.isin(w, marked).sum() for w in words])
+    return np.where(toxic, 1 + np.searchsorted(np.array(cuts), found), 0)
 
 
 def fit(documents: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", label: str = "toxic", per_class: int = PER_CLASS) -> OrdinalModel:
@@ -120,25 +120,21 @@ def fit(documents: DataFrame, labels: DataFrame, key: str = "doc_id", text: str
     rows = documents.select(key, text).join(F.broadcast(chosen), key)  # per_class rows of three numbers for each class
 
     def count(texts: list) -> dict[str, pa.Array]:
-        found, words, times = [], [], []
+        found, words = [], []
         for t in texts:
-            c: dict[str, int] = {}
-            for w in words_of(t):
-                c[w] = c.get(w, 0) + 1
-            each = [features(w) for w in c]
+            each = [features(w) for w in sorted(set(words_of(t)))]
             found.append(np.unique(np.array([f for fs in each for f in fs], np.uint32)).view(np.int32))
             words.append(np.array([fs[0] for fs in each], np.uint32).view(np.int32))
-            times.append(np.array(list(c.values()), np.int32))
-        return {n: pa.array(x, pa.list_(pa.int32())) for n, x in (("found", found), ("words", words), ("times", times))}
+        return {n: pa.array(x, pa.list_(pa.int32())) for n, x in (("found", found), ("words", words))}
 
-    got = map_texts(rows, key, text, count, "found array<int>, words array<int>, times array<int>", ["label", "weight"]).toArrow()
+    got = map_texts(rows, key, text, count, "found array<int>, words array<int>", ["label", "weight"]).toArrow()
     keys = np.array(got[key].to_pylist())
     order = pa.array(np.lexsort((np.array(got["words"].combine_chunks().value_lengths()), keys)) if len(keys) else np.zeros(0, int))
     got = got.take(order)
     arrays = lambda c, kind: [x.values.to_numpy().view(kind) for x in got[c]]
     grade, weight = np.array(got["label"].to_pylist(), int), np.array(got["weight"].to_pylist(), float)
     if len(grade) and grade.max() == 1:
-        grade = severity(arrays("words", np.uint32), arrays("times", np.int32), grade > 0, weight)
+        grade = severity(arrays("words", np.uint32), grade > 0, weight)
     return fit_ordinal(arrays("found", np.uint32), grade, weight)
 
 

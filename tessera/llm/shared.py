@@ -6,6 +6,7 @@ read back by any executor, so losing one never loses a result.
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 
@@ -48,3 +49,9 @@ def discard(*tables: DataFrame) -> None:
         for folder in {f.rpartition("/")[0] for f in t.inputFiles()}:
             p, fs = _hadoop(t.sparkSession, folder)
             fs.delete(p, True)
+
+
+def release(spark: SparkSession) -> None:
+    """Have Spark delete the shuffle files of plans that nothing refers to any more, rather than when the driver next happens to collect its garbage."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()

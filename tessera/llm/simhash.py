@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from .blocks import block_links
 from .graph import connected_components
-from .shared import discard, materialise
+from .shared import discard, materialise, release
 
 SEED = 42
 CHUNK = 255 * 256
@@ -144,6 +144,7 @@ def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text", limi
     lowest = placed.groupBy("root").agg(F.min("low").alias("component_id"))
     of = materialise(placed.join(lowest, "root").select("fp", "component_id"), "components")
     discard(distinct, links, roots)
+    release(df.sparkSession)
     return fps.join(of, "fp").select(F.col("key").alias(key), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 

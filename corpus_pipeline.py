@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import decontam, paragraph_dedup, simhash, sp_dropout, toxicity
+from tessera.llm import decontam, near_copies, paragraph_dedup, sp_dropout, toxicity
 from tessera.llm.shared import materialise
 
 
@@ -18,8 +18,8 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies stays."""
-    return simhash.keep_one(docs)
+    """One document of each group stays whose five-word shingles have a Jaccard similarity of 0.8 or more."""
+    return near_copies.keep_one(docs)
 
 
 def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

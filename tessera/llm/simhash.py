@@ -153,7 +153,11 @@ def keep_one(df: DataFrame, key: str = "doc_id", **options) -> DataFrame:
 
     Rows without a key can't be told apart and all stay.
     """
-    classes = near_duplicates(df, key, **options)
+    return keep_rows(df, near_duplicates(df, key, **options), key)
+
+
+def keep_rows(df: DataFrame, classes: DataFrame, key: str = "doc_id") -> DataFrame:
+    """As ``keep_one``, with ``classes`` (key, component_id) for the rows of ``df``."""
     kept = classes.where(F.col(key) == F.col("component_id")).groupBy(F.col(key).alias("_kept")).agg(F.count("*").alias("_n"))
     rows = df.join(kept, df[key] == F.col("_kept"))
     once = rows.where("_n = 1").select(*df.columns)

@@ -9,8 +9,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def map_texts(df: DataFrame, key: str, text: str, f: Callable[[list], dict[str, pa.Array]], schema: str, extra: list[str] = ()) -> DataFrame:
-    """(key, *extra, *schema): ``f`` gets a batch's texts as bytes (None for null) and returns columns."""
+def map_texts(df: DataFrame, key: str, text: str, f: Callable[[list], dict[str, pa.Array]], schema: str, extra: list[str] = (), keyed: bool = False) -> DataFrame:
+    """(key, *extra, *schema): ``f`` gets a batch's texts as bytes (None for null), and their keys if ``keyed``, and returns columns."""
     names = ["key", *(f"x{i}" for i in range(len(extra)))]
     rows = df.select(F.col(key).alias("key"), *(F.col(c).alias(n) for c, n in zip(extra, names[1:], strict=True)), F.col(text).cast("binary").alias("text"))
     kinds = [rows.schema[n].dataType.simpleString() for n in names]
@@ -19,7 +19,8 @@ def map_texts(df: DataFrame, key: str, text: str, f: Callable[[list], dict[str,
         for b in batches:
             for at in range(0, b.num_rows, 512):
                 part = b.slice(at, 512)
-                made = f(part.column(part.num_columns - 1).to_pylist())
+                texts = part.column(part.num_columns - 1).to_pylist()
+                made = f(texts, part.column(0).to_pylist()) if keyed else f(texts)
                 yield pa.RecordBatch.from_arrays([*part.columns[:-1], *made.values()], [*names, *made])
 
     out = rows.mapInArrow(run, ", ".join([*(f"{n} {k}" for n, k in zip(names, kinds, strict=True)), schema]))

@@ -1,9 +1,10 @@
 """SentencePiece encoding with seeded merge-dropout, and lossless decoding.
 
 Pieces are merged by an agenda, best score first; a keyed hash of the seed, the
-segment, its variant and the candidate says whether a merge is skipped, so the
-same key always gives the same segmentation on any executor. Each occurrence of
-a segment in a text draws one of ``variants`` segmentations by its position.
+document, the segment's place in it and the candidate says whether a merge is
+skipped, so every occurrence of a segment draws its own skips and the same key
+always gives the same segmentation on any executor. What is kept of a segment
+is the order of its candidates, after each set of skips that has occurred.
 """
 
 from __future__ import annotations
@@ -11,8 +12,9 @@ from __future__ import annotations
 import heapq
 import re
 import struct
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -25,7 +27,7 @@ MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 SPACE = "▁"
 NORMAL, BYTE = 1, 6
 M64, M32 = (1 << 64) - 1, (1 << 32) - 1
-CACHE = 300_000
+CACHE = 200_000
 
 
 def _varint(data: bytes, at: int) -> tuple[int, int]:
@@ -116,7 +118,7 @@ def merge_short(vocabulary: Pieces, segment: str, key: int, skip: int) -> list[s
     return symbol
 
 
-def merge_long(vocabulary: Pieces, segment: str, key: int, skip: int) -> list[str]:
+def merge_long(vocabulary: Pieces, segment: str, key: int, skip: int, decide: Callable[[int, int], bool] | None = None) -> list[str]:
     """The symbols that are left when every candidate merge, best score and leftmost first, was made or skipped."""
     n, ids, score = len(segment), vocabulary.ids, vocabulary.score
     symbol: list[str] = list(segment)
@@ -133,7 +135,7 @@ def merge_long(vocabulary: Pieces, segment: str, key: int, skip: int) -> list[st
         _, left, right, found = heapq.heappop(agenda)
         if not symbol[left] or after[left] != right or vocabulary.text[found] != symbol[left] + symbol[right]:
             continue
-        if skip and skipped(key, left, found, skip):
+        if decide(left, found) if decide else skip and skipped(key, left, found, skip):
             continue
         symbol[left] += symbol[right]
         symbol[right] = ""
@@ -147,7 +149,10 @@ def merge_long(vocabulary: Pieces, segment: str, key: int, skip: int) -> list[st
 
 def merge(vocabulary: Pieces, segment: str, key: int, skip: int) -> tuple[int, ...]:
     """Ids of one segment; symbols that are no piece become byte pieces."""
-    symbols = (merge_short if len(segment) <= 24 and vocabulary.ordered and segment[1:2] != SPACE else merge_long)(vocabulary, segment, key, skip)
+    return piece_ids(vocabulary, (merge_short if len(segment) <= 24 and vocabulary.ordered and segment[1:2] != SPACE else merge_long)(vocabulary, segment, key, skip))
+
+
+def piece_ids(vocabulary: Pieces, symbols: list[str]) -> tuple[int, ...]:
     out: list[int] = []
     for s in symbols:
         found = vocabulary.ids.get(s)
@@ -158,25 +163,53 @@ def merge(vocabulary: Pieces, segment: str, key: int, skip: int) -> tuple[int, .
     return tuple(out)
 
 
+class Order:
+    """The candidates of a segment in the order they come up after the skips so far, and its ids if none of them is skipped."""
+
+    __slots__ = ("ids", "segment", "skips", "candidates", "after")
+
+    def __init__(self, vocabulary: Pieces, segment: str, skips: tuple[int, ...] = ()):
+        step, seen = 0, []
+
+        def decide(left: int, found: int) -> bool:
+            nonlocal step
+            step += 1
+            seen.append((left * 0x85EBCA77 ^ found * 0xC2B2AE3D) & M32)
+            return step - 1 in skips
+
+        self.ids = piece_ids(vocabulary, merge_long(vocabulary, segment, 0, 0, decide))
+        self.segment, self.skips, self.after = segment, skips, {}
+        self.candidates = seen[skips[-1] + 1 if skips else 0 :]
+
+
 class Encoder:
     """Encodes whole texts; the same seed, key and text always give the same ids."""
 
-    def __init__(self, path: str = MODEL, dropout: float = 0.1, seed: int = 0, variants: int = 2):
+    def __init__(self, path: str = MODEL, dropout: float = 0.1, seed: int = 0):
         if not 0 <= dropout < 1:
             raise ValueError("dropout is a probability under 1")
-        self.vocabulary, self.seed, self.variants = pieces(path), seed, variants if dropout else 1
+        self.vocabulary, self.seed = pieces(path), seed
         self.skip = int(dropout * (1 << 32))
-        self.known: list[dict[str, tuple[int, ...]]] = [{} for _ in range(self.variants)]
-
-    def segment_ids(self, segment: str, variant: int) -> tuple[int, ...]:
-        known = self.known[variant]
-        if (found := known.get(segment)) is None:
-            key = xxhash.xxh64_intdigest(segment.encode(), (self.seed * self.variants + variant) & M64)
-            found = merge(self.vocabulary, segment, key, self.skip)
-            if len(segment) <= 64:
-                if len(known) >= CACHE:
-                    known.clear()
-                known[segment] = found
+        self.known: dict[str, Order] = {}
+        self.size = 0
+
+    def keys(self, key: int, n: int) -> np.ndarray:
+        """The skip keys of the first ``n`` places of a document, 32 bits each."""
+        at = np.arange(n, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15) + np.uint64((key * 0xC2B2AE3D27D4EB4F + self.seed * 0x165667B19E3779F9) & M64)
+        at = (at ^ at >> np.uint64(30)) * np.uint64(0xBF58476D1CE4E5B9)
+        at = (at ^ at >> np.uint64(27)) * np.uint64(0x94D049BB133111EB)
+        return (at ^ at >> np.uint64(31)) & np.uint64(M32)
+
+    def segment_ids(self, segment: str, place: int, key: int = 0) -> tuple[int, ...]:
+        """Ids of a segment at a place of a document."""
+        return merge(self.vocabulary, segment, int(self.keys(key, place + 1)[place]), self.skip)
+
+    def order(self, segment: str) -> Order:
+        if (found := self.known.get(segment)) is None:
+            if self.size >= CACHE:
+                self.known, self.size = {}, 0
+            self.known[segment] = found = Order(self.vocabulary, segment)
+            self.size += 1
         return found
 
     def encode(self, text: str, key: int | None = 0) -> list[int]:
@@ -194,14 +227,37 @@ class Encoder:
 
     def _plain(self, text: str, key: int) -> list[int]:
         segments = self.vocabulary.cut.findall(text.replace(" ", SPACE))
-        if self.variants == 1:
-            found = map(self.segment_ids, segments, [0] * len(segments))
-        else:
-            at = np.arange(len(segments), dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15) + np.uint64((key * 0xC2B2AE3D27D4EB4F + self.seed) & M64)
-            at ^= at >> np.uint64(30)
-            at *= np.uint64(0xBF58476D1CE4E5B9)
-            at ^= at >> np.uint64(31)
-            found = map(self.segment_ids, segments, (at % np.uint64(self.variants)).tolist())
+        keys = self.keys(key, len(segments))
+        found: list = [None] * len(segments)
+        todo, orders = [], []
+        for i, x in enumerate(segments):
+            if len(x) > 64:
+                found[i] = merge(self.vocabulary, x, int(keys[i]), self.skip)
+            else:
+                todo.append(i)
+                orders.append(self.order(x))
+        while todo:
+            for i, o in zip(todo, orders, strict=True):
+                found[i] = o.ids
+            if not self.skip:
+                break
+            sizes = [len(o.candidates) for o in orders]
+            flat = np.fromiter(chain.from_iterable(o.candidates for o in orders), np.uint64, sum(sizes))
+            owner = np.repeat(np.arange(len(todo)), sizes)
+            hit = np.flatnonzero(((keys[todo][owner] ^ flat) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(32)) < np.uint64(self.skip))
+            who, first = np.unique(owner[hit], return_index=True)
+            steps = hit[first] - (np.cumsum(sizes) - sizes)[who]
+            more = []
+            for w, step in zip(who.tolist(), steps.tolist(), strict=True):
+                o = orders[w]
+                if (then := o.after.get(step)) is None:
+                    done = o.skips[-1] + 1 if o.skips else 0
+                    then = Order(self.vocabulary, o.segment, (*o.skips, done + step))
+                    if self.size < CACHE:
+                        o.after[step] = then
+                        self.size += 1
+                more.append(then)
+            todo, orders = [todo[w] for w in who.tolist()], more
         return [i for ids in found for i in ids]
 
     def decode(self, ids: list[int]) -> str:
@@ -210,24 +266,24 @@ class Encoder:
         return b"".join([raw[i] for i in ids])[1:].decode(errors="replace")
 
 
-def encode(df: DataFrame, key: str = "doc_id", text: str = "text", path: str = MODEL, dropout: float = 0.1, seed: int = 0, variants: int = 2, extra: list[str] = (), keep_ids: bool = True) -> DataFrame:
+def encode(df: DataFrame, key: str = "doc_id", text: str = "text", path: str = MODEL, dropout: float = 0.1, seed: int = 0, extra: list[str] = (), keep_ids: bool = True) -> DataFrame:
     """(key, *extra, ids, n_pieces, n_byte_pieces, ids_digest, lossless) of every whole text.
 
     ids_digest is the XXH64 of the ids as little-endian 32-bit numbers, in hex;
     lossless says that decoding gave the text back. Null and empty texts have
-    no ids and are lossless. Copies of a text are cut alike, under another seed
-    differently; an empty table gives no rows; other columns are ignored. ``path`` must be readable on every executor.
+    no ids and are lossless. Copies of a text under other keys or another seed
+    are cut differently; an empty table gives no rows; other columns are ignored. ``path`` must be readable on every executor.
     """
     state: dict[str, Encoder] = {}
 
-    def run(texts: list) -> dict[str, pa.Array]:
+    def run(texts: list, keys: list) -> dict[str, pa.Array]:
         if "e" not in state:
-            state["e"] = Encoder(path, dropout, seed, variants)
+            state["e"] = Encoder(path, dropout, seed)
         e, low, high = state["e"], min(state["e"].vocabulary.byte), max(state["e"].vocabulary.byte)
         ids, size, by_byte, digest, same = [], [], [], [], []
-        for t in texts:
+        for t, k in zip(texts, keys, strict=True):
             s = (t or b"").decode()
-            got = e.encode(s, xxhash.xxh64_intdigest(t or b"", seed & M64))
+            got = e.encode(s, xxhash.xxh64_intdigest(t or b"", xxhash.xxh64_intdigest(str(k), seed & M64)))
             a = np.array(got, "<u4")
             ids.append(a if keep_ids else None)
             size.append(len(got))
@@ -238,7 +294,7 @@ def encode(df: DataFrame, key: str = "doc_id", text: str = "text", path: str = M
         return cols | {"n_pieces": pa.array(size, pa.int64()), "n_byte_pieces": pa.array(by_byte, pa.int64()), "ids_digest": pa.array(digest), "lossless": pa.array(same)}
 
     schema = ("ids array<int>, " if keep_ids else "") + "n_pieces long, n_byte_pieces long, ids_digest string, lossless boolean"
-    return map_texts(df, key, text, run, schema, list(extra))
+    return map_texts(df, key, text, run, schema, list(extra), keyed=True)
 
 
 def op5_sentencepiece_dropout(spark, sf_dir: str) -> DataFrame:

@@ -76,13 +76,30 @@ RULES = [
     ("Proprietary", ["reserved"]),
 ]
 
+#: What the cuts make of the standard Apache header: its first two lines are one sentence of a paragraph, an empty line
+#: parts the address from its sentence, and a comment sign on that line joins address and the next sentence.
+HEADER_SENTENCES = {
+    "apache_grant_use": f"{SENTENCES['apache_grant']} {SENTENCES['apache_use']}",
+    "apache_at": "you may obtain a copy of the license at",
+    "apache_address": "http www apache org licenses license 2 0",
+    "apache_copy_basis": f"{SENTENCES['apache_copy']} {SENTENCES['apache_basis']}",
+}
+HEADER_RULES = [
+    ("Apache-2.0", ["apache_grant", "apache_use", "apache_at", "apache_address", "apache_basis", "apache_see"]),
+    ("Apache-2.0", ["apache_grant_use", "apache_at", "apache_address", "apache_basis", "apache_see"]),
+    ("Apache-2.0", ["apache_grant_use", "apache_copy", "apache_basis", "apache_see"]),
+    ("Apache-2.0", ["apache_grant_use", "apache_copy_basis", "apache_see"]),
+]
+
 #: Where a sentence ends: after its full stop, exclamation or question mark, or at a line end or paragraph end.
 AFTER_MARK = "[.!?]+(?:[ \\t\\r\\n]+|$)"
 BY_LINE = f"{AFTER_MARK}|\\n"
 BY_PARAGRAPH = f"{AFTER_MARK}|\\n[ \\t\\r]*\\n"
-#: Every known sentence has one of these, so texts without any have no sentences to look up.
+#: Every sentence that the SQL knows has one of these, written with one blank; the SQL looks at texts with one only.
 TRIGGERS = ["licens", "permi", "redistribut", "warrant", "copyright", "public domain", "all rights reserved", "free software"]
 NOT_WORD = "[^0-9a-z]+"
+#: Every known sentence has one of these, however its words are parted, so texts without any have no sentences to look up.
+SEEN = "|".join(t.replace(" ", NOT_WORD) for t in TRIGGERS)
 
 
 def identifiers(text: Column, cut: str, sentences: dict[str, str]) -> Column:
@@ -115,10 +132,10 @@ def license_scan(df: DataFrame, key: str = "doc_id", text: str = "text", sentenc
     long; repeated rows give repeated rows, an empty table none. Other columns
     are ignored. There is no shuffle and no Python on the way.
     """
-    sentences, rules = sentences or SENTENCES, rules or RULES
+    sentences, rules = sentences or SENTENCES | HEADER_SENTENCES, rules or RULES + HEADER_RULES
     low = F.lower(F.coalesce(F.col(text), F.lit("")))
     rows = df.select(F.col(key), low.alias("_low"))
-    rows = rows.withColumn("_low", F.when(F.col("_low").rlike("|".join(TRIGGERS)), F.col("_low")))
+    rows = rows.withColumn("_low", F.when(F.col("_low").rlike(SEEN), F.col("_low")))
     for name, cut in (("_line", BY_LINE), ("_para", BY_PARAGRAPH)):
         rows = rows.withColumn(name, F.coalesce(identifiers(F.col("_low"), cut, sentences), F.lit("")))
     rows = rows.withColumn("_more", F.length(F.regexp_replace("_para", "[^;]", "")) > F.length(F.regexp_replace("_line", "[^;]", "")))

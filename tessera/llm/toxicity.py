@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from .rows import labelled_sample, map_texts
 
 #: Labelled documents of each class that a model is fitted on, at most.
-PER_CLASS = 2000
+PER_CLASS = 4000
 CACHE = 200_000
 EDGE = "".join(chr(c) for c in range(33, 127) if not chr(c).isalnum())
 

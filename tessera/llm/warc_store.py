@@ -142,7 +142,8 @@ def read_warc(spark: SparkSession, path: str) -> DataFrame:
 def op10_warc_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = shared_path(spark, "warc")
     write_archive(spark.read.parquet(f"{sf_dir}/pages.parquet"), path)
-    return read_records(spark, path).select("page_id", "payload_bytes", F.col("sha1").alias("payload_digest"), "record_type", "refers_to")
+    _, sha1, size = payload_columns(F.col("payload"))
+    return reconstruct(spark, path).drop("sha1", "payload_bytes").select("page_id", size, sha1.alias("payload_digest"), "record_type", "refers_to")
 
 
 _B32 = " || ".join(f"substr('{BASE32}', (((('0x' || substr(h, {i}, 5))::BIGINT >> {s}) & 31) + 1)::BIGINT, 1)" for i in range(1, 41, 5) for s in (15, 10, 5, 0))

@@ -3,18 +3,19 @@
 Pieces are merged by an agenda, best score first; a keyed hash of the seed, the
 document, the segment's place in it and the candidate says whether a merge is
 skipped, so every occurrence of a segment draws its own skips and the same key
-always gives the same segmentation on any executor. What is kept of a segment
-is the order of its candidates, after each set of skips that has occurred.
+always gives the same segmentation on any executor. Kept of a segment are its
+candidates and ids without any skip; occurrences with a skip go through the
+agenda, many at a time in arrays.
 """
 
 from __future__ import annotations
 
+import bisect
 import heapq
 import re
 import struct
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 from functools import lru_cache
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -27,7 +28,8 @@ MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 SPACE = "▁"
 NORMAL, BYTE = 1, 6
 M64, M32 = (1 << 64) - 1, (1 << 32) - 1
-CACHE = 200_000
+#: Segments whose ids are kept, segments looked at together, and the longest that goes through the arrays. All three only bound memory.
+CACHE, GROUP, LONG = 300_000, 1 << 17, 40
 
 
 def _varint(data: bytes, at: int) -> tuple[int, int]:
@@ -118,7 +120,7 @@ def merge_short(vocabulary: Pieces, segment: str, key: int, skip: int) -> list[s
     return symbol
 
 
-def merge_long(vocabulary: Pieces, segment: str, key: int, skip: int, decide: Callable[[int, int], bool] | None = None) -> list[str]:
+def merge_long(vocabulary: Pieces, segment: str, key: int, skip: int) -> list[str]:
     """The symbols that are left when every candidate merge, best score and leftmost first, was made or skipped."""
     n, ids, score = len(segment), vocabulary.ids, vocabulary.score
     symbol: list[str] = list(segment)
@@ -135,7 +137,7 @@ def merge_long(vocabulary: Pieces, segment: str, key: int, skip: int, decide: Ca
         _, left, right, found = heapq.heappop(agenda)
         if not symbol[left] or after[left] != right or vocabulary.text[found] != symbol[left] + symbol[right]:
             continue
-        if decide(left, found) if decide else skip and skipped(key, left, found, skip):
+        if skip and skipped(key, left, found, skip):
             continue
         symbol[left] += symbol[right]
         symbol[right] = ""
@@ -163,23 +165,169 @@ def piece_ids(vocabulary: Pieces, symbols: list[str]) -> tuple[int, ...]:
     return tuple(out)
 
 
-class Order:
-    """The candidates of a segment in the order they come up after the skips so far, and its ids if none of them is skipped."""
+class Agenda:
+    """The agenda of many short segments at once, in arrays: every round takes each segment's best candidate, leftmost at a tie, and makes or skips it."""
+
+    NONE = 1 << 30
+
+    def __init__(self, vocabulary: Pieces):
+        v, self.base = vocabulary, len(vocabulary.text)
+        self.vocabulary = v
+        self.char = np.arange(0x110000, dtype=np.int64) + self.base  # characters that are no piece have numbers of their own
+        for t, i in v.ids.items():
+            if len(t) == 1:
+                self.char[ord(t)] = i
+        self.by_rank = np.array(sorted(v.ids.values(), key=lambda i: (-v.score[i], i)), np.int64)
+        rank = np.zeros(self.base, np.int64)
+        rank[self.by_rank] = np.arange(len(self.by_rank))
+        #: Whether of merged pieces, but for runs of spaces, none have equal scores; only then does a rank order candidates as scores do.
+        merged = [v.score[i] for t, i in v.ids.items() if len(t) > 1 and t.strip(SPACE)]
+        self.exact = len(set(merged)) == len(merged)
+        number = lambda t: v.ids.get(t) if len(t) > 1 else int(self.char[ord(t)])
+        pairs = {}
+        for t, i in v.ids.items():
+            for cut in range(1, len(t)):
+                a, b = number(t[:cut]), number(t[cut:])
+                if a is not None and b is not None:
+                    pairs[a << 32 | b] = int(rank[i])
+        bits = max(4, (8 * len(pairs)).bit_length())
+        self.shift, self.mask = np.uint64(64 - bits), (1 << bits) - 1
+        self.key, self.value = np.full(1 << bits, -1, np.int64), np.full(1 << bits, self.NONE, np.int64)
+        todo = np.array(list(pairs), np.int64)
+        value, at = np.array(list(pairs.values()), np.int64), self._slot(todo)
+        while len(todo):
+            free = np.flatnonzero(self.key[at] == -1)
+            first = free[np.unique(at[free], return_index=True)[1]]
+            self.key[at[first]], self.value[at[first]] = todo[first], value[first]
+            left = np.setdiff1d(np.arange(len(todo)), first)
+            todo, value, at = todo[left], value[left], at[left] + 1 & self.mask
+
+    def _slot(self, pair: np.ndarray) -> np.ndarray:
+        return (pair.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> self.shift).astype(np.int64)
+
+    def ranks(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """The rank of the piece that symbols a and b make, NONE where they make none or one of them is missing (-1)."""
+        pair = a << 32 | b
+        at = self._slot(pair)
+        out = self.value[at]
+        wrong = np.flatnonzero(self.key[at] != pair)
+        out[wrong] = self.NONE
+        while len(wrong):
+            wrong = wrong[self.key[at[wrong]] != -1]
+            at[wrong] = at[wrong] + 1 & self.mask
+            hit = self.key[at[wrong]] == pair[wrong]
+            out[wrong[hit]] = self.value[at[wrong[hit]]]
+            wrong = wrong[~hit]
+        return out
+
+    def run(self, segments: list[str], keys: np.ndarray | None, skip: int) -> tuple[np.ndarray, np.ndarray, tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """(ids of all segments, ids of each, candidates: segment, left, piece in the order they came up)."""
+        n, size = len(segments), np.fromiter(map(len, segments), np.int64, len(segments))
+        width = int(size.max(initial=1))
+        stride = width + 2  # one place after the last symbol, one before the first
+        code = np.frombuffer("".join(segments).encode("utf-32-le", "surrogatepass"), np.uint32)
+        row = np.repeat(np.arange(n), size)
+        col = np.arange(len(code)) - np.repeat(np.cumsum(size) - size, size)
+        symbol = np.full(n * stride, -1, np.int64)
+        symbol[row * stride + col] = self.char[code]
+        after, before = np.tile(np.arange(1, stride + 1, dtype=np.int16), n), np.tile(np.arange(-1, stride - 1, dtype=np.int16), n)
+        before[::stride] = width + 1
+        rank = np.full(n * stride, self.NONE, np.int32)
+        joint = (row * stride + col)[np.flatnonzero(col < np.repeat(size, size) - 1)]
+        rank[joint] = self.ranks(symbol[joint], symbol[joint + 1])
+        table, live, seen = rank.reshape(n, stride), np.arange(n), []
+        while len(live):
+            now = table[live]
+            j = now.argmin(1)
+            r = now[np.arange(len(live)), j]
+            going = np.flatnonzero(r < self.NONE)
+            live, j = live[going], j[going]
+            found = self.by_rank[r[going]]
+            if keys is None:
+                seen.append((live, j, found))
+                l, at = live, live * stride + j
+            else:
+                mixed = (keys[live] ^ (j * 0x85EBCA77 ^ found * 0xC2B2AE3D).astype(np.uint64)) & np.uint64(M32)
+                dropped = (mixed * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(32)) < np.uint64(skip)
+                rank[live[dropped] * stride + j[dropped]] = self.NONE
+                made = np.flatnonzero(~dropped)
+                l, j, found = live[made], j[made], found[made]
+                at = l * stride + j
+            own = l * stride
+            right = own + after[at]
+            then = after[right]
+            symbol[at], symbol[right], rank[right], after[at] = found, -2, self.NONE, then
+            then = own + then
+            before[then] = j
+            rank[at] = self.ranks(found, symbol[then])
+            prior = own + before[at]
+            rank[prior] = self.ranks(symbol[prior], found)
+        grid = symbol.reshape(n, stride)[:, :width]
+        there = grid >= 0
+        ids, count = self._bytes(grid[there], there.sum(1))
+        each = tuple(np.concatenate(x) if seen else np.zeros(0, np.int64) for x in (zip(*seen, strict=True) if seen else ((), (), ())))
+        return ids, count, each
+
+    def _bytes(self, ids: np.ndarray, count: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Symbols that are no piece become byte pieces."""
+        odd = np.flatnonzero(ids >= self.base)
+        if not len(odd):
+            return ids, count
+        raw = {c: [self.vocabulary.byte[b] for b in chr(c - self.base).encode("utf-8", "surrogatepass")] for c in np.unique(ids[odd]).tolist()}
+        owner, times = np.repeat(np.arange(len(count)), count), np.ones(len(ids), np.int64)
+        times[odd] = [len(raw[c]) for c in ids[odd].tolist()]
+        out = np.repeat(ids, times)
+        first = np.cumsum(times) - times
+        for i in odd.tolist():
+            out[first[i] : first[i] + times[i]] = raw[int(ids[i])]
+        return out, np.bincount(owner, times, len(count)).astype(np.int64)
+
+
+@lru_cache(2)
+def agenda(path: str) -> Agenda:
+    return Agenda(pieces(path))
+
+
+def gather(start: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """The numbers start, start + 1, ... of each slice, one slice after the other."""
+    return np.repeat(start - (np.cumsum(size) - size), size) + np.arange(int(size.sum()))
+
+
+WIDTHS = (6, 8, 10, 12, 16, 24, LONG)
+
+
+def by_length(segments: list[str]) -> list[list[str]]:
+    """The segments, those of about equal length together."""
+    out: list[list[str]] = [[] for _ in WIDTHS]
+    for x in segments:
+        out[bisect.bisect_left(WIDTHS, len(x))].append(x)
+    return [x for x in out if x]
 
-    __slots__ = ("ids", "segment", "skips", "candidates", "after")
 
-    def __init__(self, vocabulary: Pieces, segment: str, skips: tuple[int, ...] = ()):
-        step, seen = 0, []
+class Known:
+    """What segments become if no candidate is skipped, and their candidates; both in flat arrays. Emptied when it has CACHE segments."""
 
-        def decide(left: int, found: int) -> bool:
-            nonlocal step
-            step += 1
-            seen.append((left * 0x85EBCA77 ^ found * 0xC2B2AE3D) & M32)
-            return step - 1 in skips
+    def __init__(self, own: Agenda):
+        self.agenda = own
+        self.clear()
 
-        self.ids = piece_ids(vocabulary, merge_long(vocabulary, segment, 0, 0, decide))
-        self.segment, self.skips, self.after = segment, skips, {}
-        self.candidates = seen[skips[-1] + 1 if skips else 0 :]
+    def clear(self) -> None:
+        self.place: dict[str, int] = {}
+        self.ids, self.candidates = np.zeros(0, np.int32), np.zeros(0, np.uint32)
+        self.bounds = [np.zeros(1, np.int64), np.zeros(1, np.int64)]
+
+    def add(self, segments: list[str]) -> None:
+        if len(self.place) + len(segments) > CACHE:
+            self.clear()
+        for some in by_length(segments):
+            n = len(self.place)
+            self.place.update(zip(some, range(n, n + len(some))))
+            ids, count, (row, left, found) = self.agenda.run(some, None, 0)
+            mixed = ((left * 0x85EBCA77 ^ found * 0xC2B2AE3D) & M32).astype(np.uint32)
+            order = np.argsort(row, kind="stable")
+            self.ids, self.candidates = np.concatenate([self.ids, ids.astype(np.int32)]), np.concatenate([self.candidates, mixed[order]])
+            sizes = (count, np.bincount(row, minlength=len(some)))
+            self.bounds = [np.concatenate([b, b[-1] + np.cumsum(c)]) for b, c in zip(self.bounds, sizes, strict=True)]
 
 
 class Encoder:
@@ -190,80 +338,130 @@ class Encoder:
             raise ValueError("dropout is a probability under 1")
         self.vocabulary, self.seed = pieces(path), seed
         self.skip = int(dropout * (1 << 32))
-        self.known: dict[str, Order] = {}
-        self.size = 0
+        self.agenda = agenda(path)
+        self.known = Known(self.agenda)
+        raw = self.vocabulary.raw
+        self.raw, self.raw_size = np.frombuffer(b"".join(raw), np.uint8), np.array([len(x) for x in raw])
+        self.raw_start = np.cumsum(self.raw_size) - self.raw_size
 
-    def keys(self, key: int, n: int) -> np.ndarray:
-        """The skip keys of the first ``n`` places of a document, 32 bits each."""
-        at = np.arange(n, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15) + np.uint64((key * 0xC2B2AE3D27D4EB4F + self.seed * 0x165667B19E3779F9) & M64)
+    def keys(self, key: int, n: int, first: int = 0) -> np.ndarray:
+        """The skip keys of ``n`` places of a document from the ``first``, 32 bits each."""
+        at = np.arange(first, first + n, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15) + np.uint64((key * 0xC2B2AE3D27D4EB4F + self.seed * 0x165667B19E3779F9) & M64)
         at = (at ^ at >> np.uint64(30)) * np.uint64(0xBF58476D1CE4E5B9)
         at = (at ^ at >> np.uint64(27)) * np.uint64(0x94D049BB133111EB)
         return (at ^ at >> np.uint64(31)) & np.uint64(M32)
 
     def segment_ids(self, segment: str, place: int, key: int = 0) -> tuple[int, ...]:
-        """Ids of a segment at a place of a document."""
+        """Ids of a segment at a place of a document, one candidate after the other."""
         return merge(self.vocabulary, segment, int(self.keys(key, place + 1)[place]), self.skip)
 
-    def order(self, segment: str) -> Order:
-        if (found := self.known.get(segment)) is None:
-            if self.size >= CACHE:
-                self.known, self.size = {}, 0
-            self.known[segment] = found = Order(self.vocabulary, segment)
-            self.size += 1
-        return found
-
     def encode(self, text: str, key: int | None = 0) -> list[int]:
         """Ids of a text. A space is put before it, as the model expects; one written U+2581 stays what it is by byte pieces."""
-        if not text:
-            return []
-        if SPACE in text:
-            # the mark for a space, where a text has it itself, is encoded by its bytes
-            out: list[int] = []
-            mark = [self.vocabulary.byte[b] for b in SPACE.encode()]
-            for i, part in enumerate((" " + text).split(SPACE)):
-                out += (mark if i else []) + (self._plain(part, (key or 0) + i) if part else [])
-            return out
-        return self._plain(" " + text, key or 0)
-
-    def _plain(self, text: str, key: int) -> list[int]:
-        segments = self.vocabulary.cut.findall(text.replace(" ", SPACE))
-        keys = self.keys(key, len(segments))
-        found: list = [None] * len(segments)
-        todo, orders = [], []
-        for i, x in enumerate(segments):
-            if len(x) > 64:
-                found[i] = merge(self.vocabulary, x, int(keys[i]), self.skip)
-            else:
-                todo.append(i)
-                orders.append(self.order(x))
-        while todo:
-            for i, o in zip(todo, orders, strict=True):
-                found[i] = o.ids
-            if not self.skip:
-                break
-            sizes = [len(o.candidates) for o in orders]
-            flat = np.fromiter(chain.from_iterable(o.candidates for o in orders), np.uint64, sum(sizes))
-            owner = np.repeat(np.arange(len(todo)), sizes)
-            hit = np.flatnonzero(((keys[todo][owner] ^ flat) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(32)) < np.uint64(self.skip))
-            who, first = np.unique(owner[hit], return_index=True)
-            steps = hit[first] - (np.cumsum(sizes) - sizes)[who]
-            more = []
-            for w, step in zip(who.tolist(), steps.tolist(), strict=True):
-                o = orders[w]
-                if (then := o.after.get(step)) is None:
-                    done = o.skips[-1] + 1 if o.skips else 0
-                    then = Order(self.vocabulary, o.segment, (*o.skips, done + step))
-                    if self.size < CACHE:
-                        o.after[step] = then
-                        self.size += 1
-                more.append(then)
-            todo, orders = [todo[w] for w in who.tolist()], more
-        return [i for ids in found for i in ids]
+        return self.encode_all([text], [key or 0])[0].tolist()
+
+    def encode_all(self, texts: list[str], keys: list[int]) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all texts, ids of each)."""
+        parts: list[tuple[str, int, int]] = []  # text, key, place of its first segment
+        marks = [0] * len(texts)
+        mark = [self.vocabulary.byte[b] for b in SPACE.encode()]
+        owners: list[int] = []
+        for d, (text, key) in enumerate(zip(texts, keys, strict=True)):
+            if text:
+                # the mark for a space, where a text has it itself, is encoded by its bytes
+                for i, part in enumerate((" " + text).split(SPACE)):
+                    marks[d] = i
+                    parts.append((part, key + i, d))
+                    owners.append(d)
+        done, sizes = [], []
+        for ids, size in self._parts(parts):
+            done.append(ids)
+            sizes.append(size)
+        flat, size = np.concatenate([np.zeros(0, np.int64), *done]), np.concatenate([np.zeros(0, np.int64), *sizes]).astype(np.int64)
+        if any(marks):
+            owner = np.array(owners)
+            later = np.append(False, owner[1:] == owner[:-1]) if len(owner) else np.zeros(0, bool)
+            out, at = [], 0
+            for n, more in zip(size.tolist(), later.tolist(), strict=True):
+                out.append(np.concatenate([np.array(mark if more else [], np.int64), flat[at : at + n]]))
+                at += n
+            flat, size = np.concatenate(out), size + later * len(mark)
+        return flat, np.bincount(np.array(owners, np.int64), size, len(texts)).astype(np.int64)
+
+    def _parts(self, parts: list[tuple[str, int, int]]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """(ids, ids of each) of some of the parts after the other, about GROUP segments at a time; a part without U+2581 in it."""
+        segments, keys, count = [], [], []
+        for text, key, _ in parts:
+            own = self.vocabulary.cut.findall(text.replace(" ", SPACE))
+            segments += own
+            keys.append(self.keys(key, len(own)))
+            count.append(len(own))
+            if len(segments) >= GROUP:
+                yield self._ids(segments, np.concatenate(keys), np.array(count))
+                segments, keys, count = [], [], []
+        if count:
+            yield self._ids(segments, np.concatenate(keys), np.array(count))
+
+    def _ids(self, segments: list[str], keys: np.ndarray, count: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        ids, size = [], []
+        for at in range(0, len(segments), GROUP):
+            i, s = self._group(segments[at : at + GROUP], keys[at : at + GROUP])
+            ids.append(i)
+            size.append(s)
+        size = np.concatenate([np.zeros(0, np.int64), *size])
+        ends = np.concatenate([[0], np.cumsum(size)])[np.concatenate([[0], np.cumsum(count)])]
+        return np.concatenate([np.zeros(0, np.int64), *ids]), np.diff(ends)
+
+    def _group(self, segments: list[str], keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all segments, and how many each has."""
+        long = [i for i, x in enumerate(segments) if len(x) > LONG or x[1:2] == SPACE or not self.agenda.exact]
+        own = {i: np.array(merge(self.vocabulary, segments[i], int(keys[i]), self.skip), np.int64) for i in long}
+        short = segments if not long else ["" if i in own else x for i, x in enumerate(segments)]
+        known = self.known
+        if new := set(short).difference(known.place):
+            if len(known.place) + len(new) > CACHE:
+                known.clear()
+                new = set(short)
+            known.add(list(new))
+        place = np.fromiter(map(known.place.__getitem__, short), np.int64, len(short))
+        (start, first), (stop, last) = (b[place] for b in known.bounds), (b[place + 1] for b in known.bounds)
+        size, store = stop - start, [known.ids]
+        if self.skip:
+            n = last - first
+            mixed = known.candidates[gather(first, n)].astype(np.uint64) ^ np.repeat(keys, n)
+            hit = np.flatnonzero((mixed * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(32)) < np.uint64(self.skip))
+            todo = np.zeros(len(short), bool)
+            todo[np.searchsorted(np.cumsum(n), hit, "right")] = True
+            todo = np.flatnonzero(todo)
+            length = np.fromiter(map(len, short), np.int64, len(short))[todo]
+            base = len(known.ids)
+            for lo, hi in zip((0, *WIDTHS), WIDTHS):
+                some = todo[(length > lo) & (length <= hi)]
+                if len(some):
+                    ids, count, _ = self.agenda.run([short[i] for i in some.tolist()], keys[some], self.skip)
+                    store.append(ids)
+                    start[some], size[some] = base + np.cumsum(count) - count, count
+                    base += len(ids)
+        else:
+            base = len(known.ids)
+        for i, ids in own.items():
+            store.append(ids)
+            start[i], size[i] = base, len(ids)
+            base += len(ids)
+        return np.concatenate(store)[gather(start, size)].astype(np.int64), size
+
+    def spelled(self, ids: np.ndarray) -> bytes:
+        """The bytes of all ids, one after the other."""
+        return self.raw[gather(self.raw_start[ids], self.raw_size[ids])].tobytes()
 
     def decode(self, ids: list[int]) -> str:
         """The text that ``ids`` were made from, exactly."""
-        raw = self.vocabulary.raw
-        return b"".join([raw[i] for i in ids])[1:].decode(errors="replace")
+        return self.spelled(np.array(ids, np.int64))[1:].decode(errors="replace")
+
+
+@lru_cache(1)
+def encoder(path: str, dropout: float, seed: int) -> Encoder:
+    """One for all tasks of a worker."""
+    return Encoder(path, dropout, seed)
 
 
 def encode(df: DataFrame, key: str = "doc_id", text: str = "text", path: str = MODEL, dropout: float = 0.1, seed: int = 0, extra: list[str] = (), keep_ids: bool = True) -> DataFrame:
@@ -274,28 +472,24 @@ def encode(df: DataFrame, key: str = "doc_id", text: str = "text", path: str = M
     no ids and are lossless. Copies of a text under other keys or another seed
     are cut differently; an empty table gives no rows; other columns are ignored. ``path`` must be readable on every executor.
     """
-    state: dict[str, Encoder] = {}
 
     def run(texts: list, keys: list) -> dict[str, pa.Array]:
-        if "e" not in state:
-            state["e"] = Encoder(path, dropout, seed)
-        e, low, high = state["e"], min(state["e"].vocabulary.byte), max(state["e"].vocabulary.byte)
-        ids, size, by_byte, digest, same = [], [], [], [], []
-        for t, k in zip(texts, keys, strict=True):
-            s = (t or b"").decode()
-            got = e.encode(s, xxhash.xxh64_intdigest(t or b"", xxhash.xxh64_intdigest(str(k), seed & M64)))
-            a = np.array(got, "<u4")
-            ids.append(a if keep_ids else None)
-            size.append(len(got))
-            by_byte.append(int(((a >= low) & (a <= high)).sum()))
-            digest.append(xxhash.xxh64_hexdigest(a.tobytes()))
-            same.append(e.decode(got) == s)
-        cols = {"ids": pa.array(ids, pa.list_(pa.int32()))} if keep_ids else {}
-        return cols | {"n_pieces": pa.array(size, pa.int64()), "n_byte_pieces": pa.array(by_byte, pa.int64()), "ids_digest": pa.array(digest), "lossless": pa.array(same)}
+        e = encoder(path, dropout, seed)
+        low, high = min(e.vocabulary.byte), max(e.vocabulary.byte)
+        raw = [t or b"" for t in texts]
+        flat, size = e.encode_all([t.decode() for t in raw], [xxhash.xxh64_intdigest(t, xxhash.xxh64_intdigest(str(k), seed & M64)) for t, k in zip(raw, keys, strict=True)])
+        ends = np.concatenate([[0], np.cumsum(size)])
+        by_byte = np.concatenate([[0], np.cumsum((flat >= low) & (flat <= high))])
+        small = flat.astype("<i4")
+        digest = [xxhash.xxh64_hexdigest(small[a:b].tobytes()) for a, b in zip(ends, ends[1:])]
+        spelled, at = e.spelled(flat), np.concatenate([[0], np.cumsum(e.raw_size[flat])])[ends].tolist()
+        same = [spelled[a:b] == (b" " + t if t else t) for t, a, b in zip(raw, at, at[1:])]
+        cols = {"ids": pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(small))} if keep_ids else {}
+        return cols | {"n_pieces": pa.array(size, pa.int64()), "n_byte_pieces": pa.array(np.diff(by_byte[ends]), pa.int64()), "ids_digest": pa.array(digest, pa.string()), "lossless": pa.array(same, pa.bool_())}
 
     schema = ("ids array<int>, " if keep_ids else "") + "n_pieces long, n_byte_pieces long, ids_digest string, lossless boolean"
     return map_texts(df, key, text, run, schema, list(extra), keyed=True)
 
 
 def op5_sentencepiece_dropout(spark, sf_dir: str) -> DataFrame:
-    return encode(spark.read.parquet(f"{sf_dir}/documents.parquet"), keep_ids=False)
+    return encode(spark.read.parquet(f"{sf_dir}/documents.parquet"))

@@ -27,6 +27,11 @@ def map_texts(df: DataFrame, key: str, text: str, f: Callable[[list], dict[str,
     return out.withColumnsRenamed({"key": key} | dict(zip(names[1:], extra, strict=True)))
 
 
+def numbered(df: DataFrame) -> DataFrame:
+    """``df`` with its columns named c0, c1, ..., so that none has the name of one that is added."""
+    return df.toDF(*(f"c{i}" for i in range(len(df.columns))))
+
+
 def labelled_sample(labels: DataFrame, label: str, key: str, per_class: int) -> DataFrame:
     """(key, label, weight): up to ``per_class`` rows of each label, those with the least hash of their key.
 

@@ -16,9 +16,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .graph import connected_components
-from .shared import discard, materialise
+from .shared import discard, materialise, release
 
-LEADERS = 16
+LEADERS = 4
 
 
 def crowd_links(members: DataFrame, links: DataFrame, verify: Callable[[DataFrame], DataFrame], columns: list[str] = ()) -> DataFrame:
@@ -49,4 +49,5 @@ def crowd_links(members: DataFrame, links: DataFrame, verify: Callable[[DataFram
         new = leaders.select("bucket", "id")
         now = materialise(new if led is None else led.union(new), "led")
         discard(roots, leaders, pairs, links, *([led] if led is not None else []))
+        release(members.sparkSession)
         links, led, lanes, turn = more, now, lanes * 4, turn + 1

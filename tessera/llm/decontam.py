@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
+from .rows import numbered
 from .shared import materialise
 
 #: Edits allowed per hundred characters of a normalised item.
@@ -25,10 +26,8 @@ BUDGET = 10
 #: Benchmark characters searched for in one pass; a larger benchmark takes more passes.
 PASS_CHARS = 4_000_000
 #: Characters of documents and shared q-grams held at a time; both only bound memory.
-BATCH_CHARS, HITS = 1_000_000, 2_000_000
+BATCH_CHARS, HITS = 250_000, 500_000
 Q_MOST = 8
-#: Bands of a document: up to four million, some of them before its first character.
-LAST_BAND, BEFORE = (1 << 22) - 1, 1 << 12
 _TABLES: dict[str, np.ndarray] = {}
 
 
@@ -123,7 +122,8 @@ class Index:
             if len(x):
                 self.ids.append(item)
                 self.texts.append(x)
-        size = np.array([len(x) for x in self.texts])
+        size = np.array([len(x) for x in self.texts], np.int64)
+        self.before = int(size.max(initial=0)) + 2  # bands that may lie before a text's first character
         qs = np.array([gram_size(n, rate) for n in size])
         self.k = np.array([budget(n, rate) for n in size], np.int64)
         self.need = np.maximum(1, size + 1 - qs - self.k * qs)
@@ -133,14 +133,15 @@ class Index:
             item = np.concatenate([np.full(max(0, size[i] - q + 1), i) for i in own])
             place = np.concatenate([np.arange(max(0, size[i] - q + 1)) for i in own])
             order = np.argsort(code, kind="stable")
-            bits = 12 + int(np.ceil(np.log2(max(2, len(code)))))
-            seen = np.zeros(1 << min(bits, 27), bool)
-            seen[code >> np.uint64(64 - min(bits, 27))] = True
-            self.by_q[q] = (code[order], item[order], place[order], seen, np.uint64(64 - min(bits, 27)))
+            bits = min(24, 6 + int(np.ceil(np.log2(max(2, len(code))))))
+            seen = np.zeros(1 << bits, bool)
+            seen[code >> np.uint64(64 - bits)] = True
+            self.by_q[q] = (code[order], item[order], place[order], seen, np.uint64(64 - bits))
 
     def regions(self, x: np.ndarray, doc: np.ndarray, offset: np.ndarray) -> set[tuple[int, int, int, int]]:
         """(document, item, first diagonal, number of diagonals) of bands that reach their item's bound."""
         found = set()
+        wide = (len(x) + 2 * self.before + 2).bit_length()  # so that any band of the texts at hand has a number
         for q, (code, item, place, seen, shift) in self.by_q.items():
             own = grams(x, q)
             at = np.flatnonzero(seen[own >> shift])
@@ -152,21 +153,21 @@ class Index:
             counted = []
             for part in np.split(np.arange(len(at)), np.flatnonzero(np.diff(np.cumsum(times) // HITS)) + 1):
                 if len(part):
-                    counted.append(self._bands(doc, offset, at[part], lo[part], times[part], item, place))
+                    counted.append(self._bands(doc, offset, at[part], lo[part], times[part], item, place, wide))
             if not counted:
                 continue
             code, count = np.concatenate([c[0] for c in counted]), np.concatenate([c[1] for c in counted])
             if len(counted) > 1:
                 code, back = np.unique(code, return_inverse=True)
                 count = np.bincount(back, count)
-            who, i = np.divmod(code >> 23, len(self.ids))
+            who, i = np.divmod(code >> wide + 1, len(self.ids))
             good = np.flatnonzero(count >= self.need[i])
-            for d, i, side, b in zip(who[good].tolist(), i[good].tolist(), (code[good] >> 22 & 1).tolist(), (code[good] & LAST_BAND).tolist(), strict=True):
+            for d, i, side, b in zip(who[good].tolist(), i[good].tolist(), (code[good] >> wide & 1).tolist(), (code[good] & (1 << wide) - 1).tolist(), strict=True):
                 w = int(2 * self.k[i] + 1)
-                found.add((d, i, (b - BEFORE) * 2 * w - side * w, 2 * w))
+                found.add((d, i, (b - self.before) * 2 * w - side * w, 2 * w))
         return found
 
-    def _bands(self, doc: np.ndarray, offset: np.ndarray, at: np.ndarray, lo: np.ndarray, times: np.ndarray, item: np.ndarray, place: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    def _bands(self, doc: np.ndarray, offset: np.ndarray, at: np.ndarray, lo: np.ndarray, times: np.ndarray, item: np.ndarray, place: np.ndarray, wide: int) -> tuple[np.ndarray, np.ndarray]:
         """(code, count): q-grams shared by (document, item, side, band), all four in one number. Bands are twice as wide as an occurrence; those of the
         two sides overlap by half, so that one band holds all of it."""
         source = np.repeat(at, times)
@@ -174,8 +175,8 @@ class Index:
         it, diagonal = item[hit], source - place[hit]
         half, owner = 2 * self.k[it] + 1, doc[source]
         diagonal -= offset[owner]
-        code = (owner * len(self.ids) + it) << 23
-        codes = np.concatenate([code | side << 22 | ((diagonal + side * half) // (2 * half) + BEFORE) for side in (0, 1)])
+        code = (owner * len(self.ids) + it) << wide + 1
+        codes = np.concatenate([code | side << wide | ((diagonal + side * half) // (2 * half) + self.before) for side in (0, 1)])
         spot = np.concatenate([place[hit]] * 2)
         order = np.lexsort((spot, codes))
         codes, spot = codes[order], spot[order]
@@ -188,11 +189,12 @@ class Index:
         todo, size = [], 0
         for row, t in enumerate(texts):
             x, at = normalise(t)
-            todo.append((row, x, at))
-            size += len(x)
-            if size >= BATCH_CHARS or row + 1 == len(texts):
+            if todo and size + len(x) > BATCH_CHARS:
                 self._batch(todo, best)
                 todo, size = [], 0
+            todo.append((row, x, at))
+            size += len(x)
+        self._batch(todo, best)
         return [(row, self.ids[i], s, e, k) for (row, i), (k, s, e) in sorted(best.items())]
 
     def _batch(self, todo: list, best: dict) -> None:
@@ -230,8 +232,9 @@ def contaminated(documents: DataFrame, benchmark: DataFrame, key: str = "doc_id"
     rows; empty tables give none; other columns are ignored.
 
     The benchmark is searched for in passes of at most ``pass_chars``
-    characters (one item more at most), each sent to the executors as one
-    index, so what is sent is bounded however large the benchmark is.
+    characters (one item more at most), one after the other; each is sent to the
+    executors as one index and taken back, so what is sent at a time is bounded
+    however large the benchmark is. Each pass reads the documents.
     """
     kind, item_kind = documents.schema[key].dataType.simpleString(), benchmark.schema[item].dataType.simpleString()
     item_type = to_arrow_type(benchmark.schema[item].dataType)
@@ -253,16 +256,24 @@ def contaminated(documents: DataFrame, benchmark: DataFrame, key: str = "doc_id"
                     owner = part.column(0).take(pa.array(cols[0], pa.int64()))
                     yield pa.RecordBatch.from_arrays([owner, pa.array(cols[1], item_type), *(pa.array(c, pa.int64()) for c in cols[2:])], ["key", "item", "start", "end", "edits"])
 
-        got = rows.mapInArrow(run, f"key {kind}, item {item_kind}, start long, end long, edits long")
+        got = materialise(rows.mapInArrow(run, f"key {kind}, item {item_kind}, start long, end long, edits long"), "occurrences")
+        shared.destroy()
         out = got if out is None else out.union(got)
     return out.withColumnsRenamed({"key": key, "item": item})
 
 
-def decontaminate(documents: DataFrame, benchmark: DataFrame, key: str = "doc_id", **options) -> DataFrame:
-    """The documents in which no benchmark item occurs; rows without a key stay."""
-    found = contaminated(documents.where(F.col(key).isNotNull()), benchmark, key, **options).select(F.col(key).alias("_found")).distinct()
+def decontaminate(documents: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str = "text", **options) -> DataFrame:
+    """The documents in which no benchmark item occurs.
+
+    Rows without a key and null and empty texts stay; all rows of a key go if an
+    item occurs in one of them; all columns stay, whatever their names; an empty
+    benchmark or table changes nothing.
+    """
+    d = numbered(documents)
+    own = d.columns[documents.columns.index(key)]
+    found = contaminated(d.where(F.col(own).isNotNull()), benchmark, own, d.columns[documents.columns.index(text)], **options).select(F.col(own).alias("found")).distinct()
     found = materialise(found, "contaminated")  # of known size, so that Spark can broadcast it where it is small
-    return documents.join(found, documents[key] == F.col("_found"), "left_anti")
+    return d.join(found, d[own] == F.col("found"), "left_anti").toDF(*documents.columns)
 
 
 def op3_benchmark_decontamination(spark, sf_dir: str) -> DataFrame:

@@ -69,3 +69,9 @@ def test_edges(spark):
     assert sorted((str(r.doc_id), str(r.item_id), r.edits) for r in d.contaminated(df, bench).collect()) == [("3", "1", 0), ("5", "None", 0), ("None", "1", 0)]
     assert sorted(str(r.doc_id) for r in d.decontaminate(df, bench).collect()) == ["1", "2", "None"]
     assert d.contaminated(df.limit(0), bench).count() == d.contaminated(df, bench.limit(0)).count() == 0
+
+
+def test_short_items_in_texts_of_any_length():
+    index = d.Index([(1, "abcdefg")])
+    for n in (1_000_000, 9_000_000):
+        assert index.search(["x" * n + " abcdefg " + "y" * 50, "abcdefg"]) == [(0, 1, n + 1, n + 8, 0), (1, 1, 0, 7, 0)]

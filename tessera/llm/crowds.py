@@ -26,7 +26,8 @@ def crowd_links(members: DataFrame, links: DataFrame, verify: Callable[[DataFram
 
     members: ``bucket``, ``id`` and ``columns``, a written table. links: what is
     known already, written too; it is discarded. verify: gets pairs (a, b,
-    columns of a, then of b with ``_b`` after their names), returns the linked ones (a, b).
+    columns of a, then of b with ``_b`` after their names), a pair once for each
+    bucket that both are in, and returns the linked ones (a, b).
     """
     own = list(columns)
     led, lanes, turn = None, LEADERS, 0
@@ -44,7 +45,7 @@ def crowd_links(members: DataFrame, links: DataFrame, verify: Callable[[DataFram
             return links
         others = placed.select("bucket", F.col("id").alias("b"), F.col("comp").alias("comp_b"), *(F.col(c).alias(f"{c}_b") for c in own))
         pairs = materialise(leaders.withColumnRenamed("id", "a").join(others, "bucket").where("comp <> comp_b").select("a", "b", *own, *(f"{c}_b" for c in own)), "pairs")
-        found = verify(pairs.dropDuplicates(["a", "b"]))
+        found = verify(pairs)
         more = materialise(links.select("a", "b").union(found.select("a", "b")), "links")
         new = leaders.select("bucket", "id")
         now = materialise(new if led is None else led.union(new), "led")

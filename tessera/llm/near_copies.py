@@ -1,10 +1,13 @@
-"""Near copies by the exact Jaccard similarity of word shingles, each pair of them found.
-
-The shingles of a text are ordered by their hash. Two texts of similarity ``s``
-or more share one of their first ``n - ceil(s n) + 1`` shingles, so buckets of
-these find every pair. Sizes and places bound the similarity of a pair from
-above, then parity sketches: bits that differ never exceed the shingles that
-differ. Pairs that are left are verified by their whole sets.
+"""Near copies: SimHash first, then every pair of the exact Jaccard similarity of word shingles.
+
+Texts whose SimHash fingerprints of five-word shingles differ in three bits or
+fewer are verified and joined. At a Jaccard similarity of 0.8 fingerprints
+differ in some ten bits, which no grid finds, so the rest is found by shingles:
+those of a text are ordered by hash, the common ones last, and two texts of
+similarity ``s`` or more share one of their first ``n - ceil(s n) + 1``, so
+buckets of these find every pair. Sizes and places bound the similarity of a
+pair from above, then parity sketches: bits that differ never exceed the
+shingles that differ. Pairs that are left are verified by their whole sets.
 """
 
 from __future__ import annotations
@@ -12,30 +15,31 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import Window
 
+from .crowds import crowd_links
 from .graph import connected_components
-from .paragraph_dedup import shingle_hashes
+from .paragraph_dedup import shingle_hashes, word_hashes
 from .shared import discard, materialise, release
-from .simhash import keep_rows
+from .simhash import CHUNK, hamming_links, keep_rows, majority
 
 SHINGLE, SIMILARITY = 5, 0.8
-SKETCH, BLOCK = 16, 1024
+SKETCH = 16
 SLACK = 1e-6
+#: Shingles that are put last, at most: those of most texts. Any set of them gives the same result; it is sent to all executors.
+COMMON = 1 << 17
 
 
 def shingle_set(text: bytes | None, size: int = SHINGLE) -> tuple[int, np.ndarray]:
     """A hash of the words of a text, and the hashes of its distinct shingles in order; a text of fewer words is one shingle."""
-    words = (text or b"").lower().split()
-    content = xxhash.xxh64_intdigest(b" ".join(words))
-    if len(words) < size:
+    h = word_hashes(text)
+    content = xxhash.xxh64_intdigest(h.tobytes())
+    if len(h) < size:
         return content, np.array([content], np.uint64)
-    return content, np.unique(shingle_hashes(np.array([xxhash.xxh64_intdigest(w) for w in words], np.uint64), size))
+    return content, np.unique(shingle_hashes(h, size))
 
 
 def sketch(s: np.ndarray) -> np.ndarray:
@@ -44,26 +48,32 @@ def sketch(s: np.ndarray) -> np.ndarray:
     return np.packbits(odd.astype(np.uint8), bitorder="little").view("<i8")
 
 
-def index(df: DataFrame, key: str, text: str, size: int, similarity: float) -> DataFrame:
-    """(key, content, n, sketch, prefix) of each row; the prefix holds the least shingle hashes."""
+def index(df: DataFrame, key: str, text: str, size: int, similarity: float, common: np.ndarray | None = None) -> DataFrame:
+    """(key, content, n, fp, sketch, prefix) of each row; the prefix holds the least shingle hashes, those of ``common`` (in order) after all others."""
     kind = df.schema[key].dataType.simpleString()
+    sent = df.sparkSession.sparkContext.broadcast(common) if common is not None and len(common) else None
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at in range(0, batch.num_rows, 512):
                 part = batch.slice(at, 512)
-                content, n, sketches, prefix = [], [], [], []
+                content, n, fps, sketches, prefix = [], [], [], [], []
                 for t in part.column(1).to_pylist():
                     c, s = shingle_set(t, size)
                     content.append(c)
                     n.append(len(s))
+                    fps.append(majority(s[i : i + CHUNK] for i in range(0, len(s), CHUNK)))
                     sketches.append(sketch(s))
+                    if sent is not None:
+                        known = sent.value
+                        last = known[np.minimum(np.searchsorted(known, s), len(known) - 1)] == s
+                        s = np.concatenate([s[~last], s[last]])
                     prefix.append(s[: len(s) - int(np.ceil(similarity * len(s) - SLACK)) + 1].view(np.int64))
-                made = [pa.array(np.array(content, np.uint64).view(np.int64)), pa.array(n, pa.int64()), pa.array(sketches, pa.list_(pa.int64())), pa.array(prefix, pa.list_(pa.int64()))]
-                yield pa.RecordBatch.from_arrays([part.column(0), *made], ["key", "content", "n", "sketch", "prefix"])
+                numbers = [pa.array(np.array(x, np.uint64).view(np.int64)) for x in (content, n, fps)]
+                yield pa.RecordBatch.from_arrays([part.column(0), *numbers, pa.array(sketches, pa.list_(pa.int64())), pa.array(prefix, pa.list_(pa.int64()))], ["key", "content", "n", "fp", "sketch", "prefix"])
 
     rows = df.select(F.col(key).alias("key"), F.col(text).cast("binary").alias("text"))
-    return rows.mapInArrow(run, f"key {kind}, content long, n long, sketch array<long>, prefix array<long>")
+    return rows.mapInArrow(run, f"key {kind}, content long, n long, fp long, sketch array<long>, prefix array<long>")
 
 
 def set_rows(df: DataFrame, wanted: DataFrame, key: str, text: str, size: int) -> DataFrame:
@@ -87,92 +97,85 @@ def set_rows(df: DataFrame, wanted: DataFrame, key: str, text: str, size: int) -
     return rows.mapInArrow(run, "content long, shingles array<long>").dropDuplicates(["content"])
 
 
-def possible(similarity: float) -> str:
-    """SQL: whether the sizes na, nb and the places pa, pb of the first common shingle allow the similarity."""
-    return f"least(na - pa, nb - pb) >= {similarity / (1 + similarity)} * (na + nb) - {SLACK}"
+def possible(pairs: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
+    """(a, b): those ``pairs`` (a, b, na, nb, pa, pb) that sizes, places and sketches allow.
 
+    At the first shingle that two texts have in common, all others follow it in both.
+    """
+    pairs = pairs.where(f"least(na - pa, nb - pb) >= {similarity / (1 + similarity)} * (na + nb) - {SLACK}").select("a", "b", "na", "nb").distinct()
+    for x in "ab":
+        pairs = pairs.join(texts.select(F.col("content").alias(x), F.col("sketch").alias(f"s{x}")), x)
+    apart = "aggregate(zip_with(sa, sb, (x, y) -> bit_count(x ^ y)), 0, (s, x) -> s + x)"
+    return pairs.where(f"{apart} <= {(1 - similarity) / (1 + similarity)} * (na + nb) + {SLACK}").select("a", "b")
 
-def verified(df: DataFrame, pairs: DataFrame, texts: DataFrame, key: str, text: str, size: int, similarity: float, name: str) -> DataFrame:
+
+def verified(df: DataFrame, pairs: DataFrame, texts: DataFrame, key: str, text: str, size: int, similarity: float) -> DataFrame:
     """(a, b): those ``pairs`` whose sets have the similarity. A written table."""
-    pairs = materialise(pairs.distinct(), f"{name}-pairs")
+    pairs = materialise(pairs.select("a", "b").distinct(), "pairs")
     wanted = pairs.select(F.explode(F.array("a", "b")).alias("content")).distinct().join(texts.select("content", "key"), "content")
-    sets = materialise(set_rows(df, wanted, key, text, size), f"{name}-sets")
+    sets = materialise(set_rows(df, wanted, key, text, size), "sets")
     both = pairs.join(sets.toDF("a", "sa"), "a").join(sets.toDF("b", "sb"), "b").withColumn("common", F.size(F.array_intersect("sa", "sb")))
-    links = materialise(both.where(F.col("common") >= similarity * (F.size("sa") + F.size("sb") - F.col("common")) - SLACK).select("a", "b"), f"{name}-links")
+    links = materialise(both.where(F.col("common") >= similarity * (F.size("sa") + F.size("sb") - F.col("common")) - SLACK).select("a", "b"), "links")
     discard(pairs, sets)
+    release(df.sparkSession)
     return links
 
 
-def crowded_pairs(members: DataFrame, similarity: float) -> DataFrame:
-    """(a, b): pairs of one bucket that sizes, places and sketches allow and that ``comp`` doesn't join yet; each two blocks are one task."""
-    n = members.groupBy("bucket").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
-    dealt = members.join(n, "bucket").withColumn("own", F.pmod(F.xxhash64("content"), F.col("blocks")).cast("int"))
-    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    dealt = dealt.withColumn("lo", F.least("own", "other")).withColumn("hi", F.greatest("own", "other"))
-
-    def found(rows: pd.DataFrame) -> pd.DataFrame:
-        ids, n, p, comp = (rows[c].to_numpy() for c in ("content", "n", "pos", "comp"))
-        bits = np.stack(rows["sketch"].to_list()).astype(np.int64).view(np.uint64)
-        a, b = [], []
-        for i in range(len(ids) - 1):
-            js = np.arange(i + 1, len(ids))
-            js = js[comp[js] != comp[i]]
-            total = n[js] + n[i]
-            js = js[np.minimum(n[js] - p[js], n[i] - p[i]) >= similarity / (1 + similarity) * total - SLACK]
-            apart = np.bitwise_count(bits[js] ^ bits[i]).sum(1, dtype=np.int64)
-            js = js[apart <= (1 - similarity) / (1 + similarity) * (n[js] + n[i]) + SLACK]
-            a.append(np.minimum(ids[i], ids[js]))
-            b.append(np.maximum(ids[i], ids[js]))
-        return pd.DataFrame({"a": np.concatenate([np.zeros(0, np.int64), *a]), "b": np.concatenate([np.zeros(0, np.int64), *b])})
-
-    return dealt.groupBy("bucket", "lo", "hi").applyInPandas(found, "a long, b long")
-
-
-def jaccard_links(df: DataFrame, texts: DataFrame, key: str, text: str, size: int, similarity: float, hot: int) -> DataFrame:
-    """(a, b): links between the contents of ``texts`` (content, key, n, sketch, prefix), enough that components are exact.
-
-    Buckets of up to ``hot`` texts give their pairs. In larger ones all are
-    first compared with the least; of what that joins no pair is looked at
-    again, the others are compared in blocks.
+def simhash_pairs(texts: DataFrame, limit: int) -> DataFrame:
+    """(a, b): texts with one fingerprint, each with the least of them, and the least ones of fingerprints that differ in ``limit`` bits or fewer."""
+    low = materialise(texts.groupBy("fp").agg(F.min("content").alias("low")), "fingerprints")
+    links = hamming_links(low.select("fp"), limit)
+    near = links.join(low.toDF("a", "x"), "a").join(low.toDF("b", "y"), "b").select(F.col("x").alias("a"), F.col("y").alias("b"))
+    return near.union(texts.join(low, "fp").where("content <> low").select("low", "content"))
+
+
+def jaccard_links(df: DataFrame, texts: DataFrame, key: str, text: str, size: int, similarity: float, hot: int, limit: int) -> DataFrame:
+    """(a, b): links between the contents of ``texts`` (content, key, n, fp, sketch, prefix), enough that components are exact.
+
+    Buckets of up to ``hot`` texts give their pairs, larger ones are linked by
+    leaders; what SimHash has joined already isn't compared there again.
     """
     rows = texts.select("content", "n", F.posexplode("prefix").alias("pos", "bucket"))
-    rows = rows.withColumn("size", F.count("*").over(Window.partitionBy("bucket"))).where("size > 1")
-    shared = materialise(rows, "buckets")
-    side = lambda t, x: t.select("bucket", F.col("content").alias(x), F.col("n").alias(f"n{x}"), F.col("pos").alias(f"p{x}"))
-    small, crowded = shared.where(F.col("size") <= hot), shared.where(F.col("size") > hot)
-    pairs = side(small, "a").join(side(small, "b"), "bucket").where("a < b")
-    some = bool(crowded.take(1))
-    if some:
-        leader = crowded.groupBy("bucket").agg(F.min(F.struct("content", "n", "pos")).alias("x")).select("bucket", F.col("x.content").alias("a"), F.col("x.n").alias("na"), F.col("x.pos").alias("pa"))
-        pairs = pairs.union(side(crowded, "b").join(leader, "bucket").where("a < b").select(*pairs.columns))
-    pairs = pairs.where(possible(similarity)).select("a", "b", "na", "nb").distinct()
-    for x in "ab":
-        pairs = pairs.join(texts.select(F.col("content").alias(x), F.col("sketch").alias(f"s{x}")), x)
-    apart = "aggregate(zip_with(sa, sb, (x, y) -> bit_count(x ^ y)), 0, (s, x) -> s + x)"
-    pairs = pairs.where(f"{apart} <= {(1 - similarity) / (1 + similarity)} * (na + nb) + {SLACK}").select("a", "b")
-    links = verified(df, pairs, texts, key, text, size, similarity, "near")
-    if some:
-        roots = connected_components(links)
-        members = crowded.join(texts.select("content", "sketch"), "content").join(roots.toDF("content", "root"), "content", "left").withColumn("comp", F.coalesce("root", "content"))
-        more = verified(df, crowded_pairs(members.select("bucket", "content", "n", "pos", "comp", "sketch"), similarity), texts, key, text, size, similarity, "crowded")
-        links = links.union(more)
-    links = materialise(links, "links")
+    sizes = materialise(rows.groupBy("bucket").agg(F.count("*").alias("size")).where("size > 1"), "sizes")
+    release(df.sparkSession)
+    shared = materialise(rows.join(sizes, "bucket"), "buckets")
+    discard(sizes)
+    release(df.sparkSession)
+    side = lambda t, x: t.select("bucket", F.col("content").alias(x), *(F.col(c).alias(f"{c[0]}{x}") for c in ("n", "pos")))
+    small = shared.where(F.col("size") <= hot)
+    pairs = possible(side(small, "a").join(side(small, "b"), "bucket").where("a < b"), texts, similarity)
+    links = verified(df, simhash_pairs(texts, limit).union(pairs), texts, key, text, size, similarity)
+    crowded = materialise(shared.where(F.col("size") > hot).select("bucket", F.col("content").alias("id"), "n", "pos"), "crowded")
     discard(shared)
+    if crowded.take(1):
+
+        def verify(found: DataFrame) -> DataFrame:
+            return verified(df, possible(found.toDF("a", "b", "na", "pa", "nb", "pb"), texts, similarity), texts, key, text, size, similarity)
+
+        links = crowd_links(crowded, links, verify, ["n", "pos"])
+    discard(crowded)
     return links
 
 
-def near_copies(df: DataFrame, key: str = "doc_id", text: str = "text", size: int = SHINGLE, similarity: float = SIMILARITY, hot: int = 64) -> DataFrame:
+def near_copies(df: DataFrame, key: str = "doc_id", text: str = "text", size: int = SHINGLE, similarity: float = SIMILARITY, hot: int = 64, limit: int = 3) -> DataFrame:
     """One row per row of ``df``: (key, component_id), linked where the Jaccard similarity of texts is ``similarity`` or more.
 
     Case and spaces are ignored. component_id is the smallest key reachable
     over links, its own included; null and empty texts are copies of each
     other; a null key takes part but is the id only of a component without
-    other keys. Repeated rows give repeated rows, an empty table none.
+    other keys. Repeated rows give repeated rows, an empty table none; other
+    columns are ignored.
     """
     rows = materialise(index(df, key, text, size, similarity), "index")
-    texts = rows.groupBy("content").agg(F.min("key").alias("key"), *(F.first(c).alias(c) for c in ("n", "sketch", "prefix")))
+    again = rows.select("content", "prefix").dropDuplicates(["content"]).select(F.explode("prefix").alias("x")).groupBy("x").count().where(F.col("count") > hot)
+    common = [r.x for r in again.orderBy(F.desc("count"), "x").limit(COMMON).collect()]  # at most COMMON numbers
+    if common:
+        discard(rows)
+        release(df.sparkSession)
+        rows = materialise(index(df, key, text, size, similarity, np.sort(np.array(common, np.int64).view(np.uint64))), "index")
+    texts = rows.groupBy("content").agg(F.min("key").alias("key"), *(F.first(c).alias(c) for c in ("n", "fp", "sketch", "prefix")))
     texts = materialise(texts, "texts")
-    links = jaccard_links(df, texts, key, text, size, similarity, hot)
+    links = jaccard_links(df, texts, key, text, size, similarity, hot, limit)
     roots = connected_components(links)
     placed = texts.select("content", "key").join(roots.withColumnRenamed("node", "content"), "content", "left").withColumn("root", F.coalesce("root", "content"))
     lowest = placed.groupBy("root").agg(F.min("key").alias("component_id"))

@@ -11,18 +11,18 @@ every pair. Survivors are verified by exact bit comparison.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from itertools import accumulate
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .blocks import block_links
+from .crowds import crowd_links
 from .graph import connected_components
+from .rows import numbered
 from .shared import discard, materialise, release
 
 SEED = 42
@@ -38,15 +38,20 @@ def fingerprint(text: bytes | None, shingle: int = 3) -> int:
         return xxhash.xxh64_intdigest(b" ".join(words), SEED)
     whole = b" ".join(words)
     starts = [0, *accumulate(len(w) + 1 for w in words)]
-    digest, n, ones = xxhash.xxh64_intdigest, len(words) - shingle + 1, np.zeros(64, np.int64)
-    for at in range(0, n, CHUNK):
-        end = min(n, at + CHUNK)
-        h = np.array([digest(whole[i : j - 1], SEED) for i, j in zip(starts[at:end], starts[at + shingle : end + shingle])], "<u8")
-        bits = np.unpackbits(h.view(np.uint8), bitorder="little").reshape(-1, 64)
+    digest, n = xxhash.xxh64_intdigest, len(words) - shingle + 1
+    return majority(np.array([digest(whole[i : j - 1], SEED) for i, j in zip(starts[at : at + CHUNK], starts[at + shingle : at + shingle + CHUNK])], "<u8") for at in range(0, n, CHUNK))
+
+
+def majority(hashes: Iterable[np.ndarray]) -> int:
+    """The number whose bits are set where over half the hashes, which come in arrays of up to CHUNK, have them set."""
+    ones, n = np.zeros(64, np.int64), 0
+    for h in hashes:
+        bits = np.unpackbits(h.astype("<u8", copy=False).view(np.uint8), bitorder="little").reshape(-1, 64)
         full = len(bits) // 255 * 255
         if full:
             ones += np.add.reduce(bits[:full].reshape(-1, 255, 64), axis=1, dtype=np.uint8).sum(0, dtype=np.int64)
         ones += bits[full:].sum(0, dtype=np.int64)
+        n += len(h)
     return int(np.packbits(ones * 2 > n, bitorder="little").view("<u8")[0])
 
 
@@ -96,9 +101,10 @@ def grid_cells(fps: DataFrame, bits: int, parts: int, radius: int) -> tuple[Data
 def hamming_links(fps: DataFrame, limit: int = 3, bits: int = 2, parts: int = 2, hot: int = 2000) -> DataFrame:
     """(a, b): links between distinct fingerprints ``fp``, enough that components are exact. The links are a written table.
 
-    Cells of up to ``hot`` members are joined; the members of larger cells are
-    compared in block pairs that return a spanning forest, so no cell ever
-    emits all its pairs.
+    Cells of up to ``hot`` members are joined. Fingerprints of larger cells are
+    dealt anew by segments of one bit, which tell 2^32 vectors of a half apart;
+    what is crowded even then is linked by leaders, so no cell emits all its
+    pairs.
     """
     own, near = grid_cells(fps, bits, parts, limit // parts)
     own = materialise(own, "cells")
@@ -111,17 +117,19 @@ def hamming_links(fps: DataFrame, limit: int = 3, bits: int = 2, parts: int = 2,
     calm, calm_probes = own, probes
     if some:
         calm, calm_probes = own.join(crowded, "cell", "left_anti"), probes.join(crowded, "cell", "left_anti")
+    close = f"bit_count(a ^ b) <= {limit}"
     pairs = calm.withColumnRenamed("fp", "a").join(calm_probes, "cell").where("(not same or a < b)")
-    pairs = pairs.where(manhattan("a", "b", bits) <= limit).where(F.expr(f"bit_count(a ^ b) <= {limit}")).select("a", "b")
+    pairs = materialise(pairs.where(manhattan("a", "b", bits) <= limit).where(close).select("a", "b"), "links")
     if some:
-        members = probes.join(crowded, "cell", "left_semi").select(F.col("cell").alias("bucket"), F.col("b").alias("id"), F.col("b").alias("fp"))
-
-        def close(values: pd.Series) -> np.ndarray:
-            x = values.to_numpy().view(np.uint64)
-            return np.bitwise_count(x[:, None] ^ x[None, :]) <= limit
-
-        pairs = pairs.union(block_links(members, close, "fp"))
-    pairs = materialise(pairs, "links")
+        members = materialise(probes.join(crowded, "cell", "left_semi").select(F.col("cell").alias("bucket"), F.col("b").alias("id")), "members")
+        if bits > 1:
+            finer = hamming_links(members.select(F.col("id").alias("fp")).distinct(), limit, 1, parts, hot)
+            both = materialise(pairs.union(finer), "links")
+            discard(pairs, finer)
+            pairs = both
+        else:
+            pairs = crowd_links(members, pairs, lambda found: found.where(close))
+        discard(members)
     discard(own, crowded)
     return pairs
 
@@ -153,16 +161,18 @@ def keep_one(df: DataFrame, key: str = "doc_id", **options) -> DataFrame:
 
     Rows without a key can't be told apart and all stay.
     """
-    return keep_rows(df, near_duplicates(df, key, **options), key)
+    return keep_rows(df, near_duplicates(df, key, **options).select(key, "component_id"), key)
 
 
 def keep_rows(df: DataFrame, classes: DataFrame, key: str = "doc_id") -> DataFrame:
-    """As ``keep_one``, with ``classes`` (key, component_id) for the rows of ``df``."""
-    kept = classes.where(F.col(key) == F.col("component_id")).groupBy(F.col(key).alias("_kept")).agg(F.count("*").alias("_n"))
-    rows = df.join(kept, df[key] == F.col("_kept"))
-    once = rows.where("_n = 1").select(*df.columns)
-    again = rows.where("_n > 1").groupBy("_kept").agg(F.min(F.struct(*df.columns)).alias("_row")).select("_row.*")
-    return once.union(again).union(df.where(F.col(key).isNull()))
+    """As ``keep_one``, with ``classes`` (key, component_id) for the rows of ``df``. All columns stay, whatever their names."""
+    d = numbered(df)
+    own = d[d.columns[df.columns.index(key)]]
+    kept = classes.toDF("kept", "low").where("kept = low").groupBy("kept").agg(F.count("*").alias("n"))
+    rows = d.join(kept, own == F.col("kept"))
+    once = rows.where("n = 1").select(*d.columns)
+    again = rows.where("n > 1").groupBy("kept").agg(F.min(F.struct(*d.columns)).alias("row")).select("row.*")
+    return once.union(again).union(d.where(own.isNull())).toDF(*df.columns)
 
 
 def op1_simhash_near_dedup(spark, sf_dir: str) -> DataFrame:

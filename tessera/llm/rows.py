@@ -39,7 +39,7 @@ def labelled_sample(labels: DataFrame, label: str, key: str, per_class: int) ->
     are left out. weight says how many labelled rows a row stands for.
     """
     once = labels.where(F.col(key).isNotNull() & F.col(label).isNotNull()).groupBy(F.col(key).alias("key")).agg(F.max(label).cast("int").alias("label"))
-    classes = {r["label"]: r["count"] for r in once.groupBy("label").count().orderBy("label").limit(64).collect()}
+    classes = {r["label"]: r["count"] for r in once.groupBy("label").count().orderBy("label").collect()}  # a number for each label, of which there are few
     parts = [once.where(F.col("label") == c).orderBy(F.xxhash64("key"), "key").limit(per_class).withColumn("weight", F.lit(n / min(n, per_class))) for c, n in classes.items()]
     out = once.limit(0).withColumn("weight", F.lit(1.0))
     for p in parts:

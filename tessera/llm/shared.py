@@ -14,9 +14,11 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_root(spark: SparkSession) -> str:
-    """The folder named by ``spark.checkpoint.dir``; one of our own only where it is unset."""
+    """The folder named by ``spark.checkpoint.dir``; one of our own only where it is unset and there is one machine only."""
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
+        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         root = "file://" + tempfile.mkdtemp(prefix="tessera-shared-")
         spark.conf.set("spark.checkpoint.dir", root)
     return root.rstrip("/")

@@ -15,7 +15,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .rows import labelled_sample, map_texts
+from .rows import labelled_sample, map_texts, numbered
 
 #: Labelled documents of each class that a model is fitted on, at most.
 PER_CLASS = 4000
@@ -158,6 +158,18 @@ def score(documents: DataFrame, model: OrdinalModel, key: str = "doc_id", text:
     return map_texts(documents, key, text, run, "expected_severity double, p_toxic double, grade int", list(extra))
 
 
+def keep_clean(documents: DataFrame, model: OrdinalModel, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """The rows of ``documents`` of which no grade over 0 is at least as likely as not.
+
+    All columns stay, whatever their names; null and empty texts, null keys and
+    repeated rows are rows like any other; an empty table stays empty.
+    """
+    d = numbered(documents)
+    at = d.columns[documents.columns.index(key)], d.columns[documents.columns.index(text)]
+    scored = score(d.withColumn("whole", F.col(at[1])), model, at[0], "whole", [c for c in d.columns if c != at[0]])
+    return scored.where("p_toxic < 0.5").select(*d.columns).toDF(*documents.columns)
+
+
 def op6_toxicity(spark, sf_dir: str) -> DataFrame:
     documents = spark.read.parquet(f"{sf_dir}/documents.parquet")
     model = fit(documents, spark.read.parquet(f"{sf_dir}/labels.parquet"))

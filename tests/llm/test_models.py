@@ -113,3 +113,8 @@ def test_quality_rules_edges(spark):
     got = sorted((str(x.doc_id), x.n_words, x.base_failed, x.kept) for x in r.quality_rules(df).collect())
     assert got == [("1", 0, True, False), ("2", 0, True, False), ("4", 40, False, True), ("4", 40, False, True), ("5", 54, True, False), ("None", 40, False, True)]
     assert r.quality_rules(df.limit(0)).count() == 0
+
+
+def test_every_grade_is_in_the_sample(spark):
+    labels = spark.range(650).selectExpr("id doc_id", "cast(id % 65 as int) toxic")
+    assert labelled_sample(labels, "toxic", "doc_id", 5).select("label").distinct().count() == 65

@@ -60,3 +60,33 @@ def test_pipeline_against_plain_stages(spark, tmp_path):
 def test_stages_keep_the_columns_of_documents():
     assert [n for n, _ in corpus_pipeline.STAGES] == ["toxicity", "simhash_near_dedup", "substring_dedup", "benchmark_decontamination", "sentencepiece_encoding"]
     assert corpus_pipeline.ORACLE_SQL is None
+
+
+def test_stages_keep_columns_whose_names_they_use(spark, tmp_path):
+    sf = f"file://{tmp_path}"
+    docs, labels, items, shared = corpus(spark, sf)
+    names = ["grade", "p_toxic", "expected_severity", "_text", "whole", "_n", "n", "kept", "_kept", "low", "_spans", "spans", "of", "key", "_found", "found", "cut", "gone", "component_id", "c0", "c1", "x0", "row"]
+    rows = spark.read.parquet(f"{sf}/documents.parquet")
+    rows = rows.select(*(rows.columns[:1]), *((rows["doc_id"] * 7 + i).alias(n) for i, n in enumerate(names)), *rows.columns[1:])
+    empty = rows.limit(0)
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, rows, sf)
+        assert out.columns == rows.columns and out.dtypes == rows.dtypes, name
+        got = out.collect()
+        assert got and all(r[n] == r.doc_id * 7 + i for r in got for i, n in enumerate(names)), name
+        assert stage(spark, empty, sf).count() == 0, name
+    assert corpus_pipeline.tokenise(spark, rows, sf).count() == len(docs) and corpus_pipeline.tokenise(spark, empty, sf).count() == 0
+
+
+def test_stages_over_odd_rows(spark, tmp_path):
+    """Null keys, repeated keys with other texts, a text that was once a mark, one very long text."""
+    sf = f"file://{tmp_path}"
+    docs, labels, items, shared = corpus(spark, sf)
+    odd = [(None, docs[1]), (None, None), (5, "another text under a key that is there"), (900, "\x00￾ gone ￾\x00"), (901, "long " * 70_000 + shared), (902, " ".join(["x"] * 3))]
+    rows = spark.read.parquet(f"{sf}/documents.parquet").unionByName(spark.createDataFrame([(k, t, None, None, None if t is None else len(t)) for k, t in odd], "doc_id long, text string, lang string, source string, n_chars long"))
+    for name, stage in corpus_pipeline.STAGES:
+        got = stage(spark, rows, sf).collect()
+        keys = [r.doc_id for r in got]
+        assert {900, 902} <= set(keys) and keys.count(None) == 2, name
+    left = {r.doc_id: r.text for r in corpus_pipeline.substring_dedup(spark, rows, sf).collect() if r.doc_id}
+    assert left[900] == odd[3][1] and left[901].split() == ["long"] * 70_000 and shared not in left[901]

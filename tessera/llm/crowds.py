@@ -2,7 +2,7 @@
 
 Of a bucket's members a few leaders are compared with all others; what they
 join is one component from then on. Members that aren't in their bucket's
-largest component lead in later rounds, four times as many each round, until
+largest component lead in later rounds, MORE times as many each round, until
 every member has led or is in that component. So each link that would change
 a component is looked at, while a bucket of like members costs a few
 comparisons for each of them. No round gathers a bucket in one task.
@@ -18,16 +18,20 @@ from pyspark.sql import functions as F
 from .graph import connected_components
 from .shared import discard, materialise, release
 
-LEADERS = 4
+#: Leaders of a bucket in the first round, and how many times as many in each later one.
+LEADERS, MORE = 2, 2048
 
 
-def crowd_links(members: DataFrame, links: DataFrame, verify: Callable[[DataFrame], DataFrame], columns: list[str] = ()) -> DataFrame:
+def crowd_links(members: DataFrame, links: DataFrame, verify: Callable[[DataFrame], DataFrame], columns: list[str] = (), central: str | None = None, near: str = "true") -> DataFrame:
     """``links`` and those found among ``members``: (a, b), a written table.
 
     members: ``bucket``, ``id`` and ``columns``, a written table. links: what is
     known already, written too; it is discarded. verify: gets pairs (a, b,
     columns of a, then of b with ``_b`` after their names), a pair once for each
-    bucket that both are in, and returns the linked ones (a, b).
+    bucket that both are in, and returns the linked ones (a, b). central: the
+    column that is small for members near the middle of their bucket; they lead
+    first. near: SQL over the same columns, what a linked pair fulfils in one of
+    its buckets at least.
     """
     own = list(columns)
     led, lanes, turn = None, LEADERS, 0
@@ -39,16 +43,20 @@ def crowd_links(members: DataFrame, links: DataFrame, verify: Callable[[DataFram
         if led is not None:
             waiting = waiting.join(led, ["bucket", "id"], "left_anti")
         lane = F.pmod(F.xxhash64("id", F.lit(turn)), F.lit(lanes))
-        leaders = materialise(waiting.groupBy("bucket", lane.alias("lane")).agg(F.min(F.struct("id", "comp", *own)).alias("x")).select("bucket", "x.*"), "leaders")
-        if not leaders.take(1):
+        leaders = materialise(waiting.groupBy("bucket", lane.alias("lane")).agg(F.min(F.struct(*([central] if central else []), "id", "comp", *(c for c in own if c != central))).alias("x"), F.count("*").alias("waiting")).select("bucket", "waiting", "x.*"), "leaders")
+        waits, leads = leaders.agg(F.sum("waiting"), F.count("*")).first()
+        if not leads:
             discard(roots, leaders, *([led] if led is not None else []))
             return links
         others = placed.select("bucket", F.col("id").alias("b"), F.col("comp").alias("comp_b"), *(F.col(c).alias(f"{c}_b") for c in own))
-        pairs = materialise(leaders.withColumnRenamed("id", "a").join(others, "bucket").where("comp <> comp_b").select("a", "b", *own, *(f"{c}_b" for c in own)), "pairs")
+        pairs = materialise(leaders.withColumnRenamed("id", "a").join(others, "bucket").where("comp <> comp_b").where(near).select("a", "b", *own, *(f"{c}_b" for c in own)), "pairs")
         found = verify(pairs)
         more = materialise(links.select("a", "b").union(found.select("a", "b")), "links")
         new = leaders.select("bucket", "id")
         now = materialise(new if led is None else led.union(new), "led")
         discard(roots, leaders, pairs, links, *([led] if led is not None else []))
         release(members.sparkSession)
-        links, led, lanes, turn = more, now, lanes * 4, turn + 1
+        if waits == leads:  # all that were waiting have led
+            discard(now)
+            return more
+        links, led, lanes, turn = more, now, lanes * MORE, turn + 1

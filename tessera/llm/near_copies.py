@@ -145,14 +145,18 @@ def jaccard_links(df: DataFrame, texts: DataFrame, key: str, text: str, size: in
     small = shared.where(F.col("size") <= hot)
     pairs = possible(side(small, "a").join(side(small, "b"), "bucket").where("a < b"), texts, similarity)
     links = verified(df, simhash_pairs(texts, limit).union(pairs), texts, key, text, size, similarity)
-    crowded = materialise(shared.where(F.col("size") > hot).select("bucket", F.col("content").alias("id"), "n", "pos"), "crowded")
+    crowded = shared.where(F.col("size") > hot).select("bucket", "content", "n", "pos").join(texts.select("content", "sketch"), "content")
+    crowded = materialise(crowded.withColumnRenamed("content", "id"), "crowded")
     discard(shared)
     if crowded.take(1):
 
         def verify(found: DataFrame) -> DataFrame:
-            return verified(df, possible(found.toDF("a", "b", "na", "pa", "nb", "pb"), texts, similarity), texts, key, text, size, similarity)
+            return verified(df, found, texts, key, text, size, similarity)
 
-        links = crowd_links(crowded, links, verify, ["n", "pos"])
+        apart = " + ".join(f"bit_count(sketch[{i}] ^ sketch_b[{i}])" for i in range(SKETCH))
+        near = f"least(n - pos, n_b - pos_b) >= {similarity / (1 + similarity)} * (n + n_b) - {SLACK} and {apart} <= {(1 - similarity) / (1 + similarity)} * (n + n_b) + {SLACK}"
+        # the fewer shingles come before a common one, the nearer is a text to what the others were made from
+        links = crowd_links(crowded, links, verify, ["n", "pos", "sketch"], "pos", near)
     discard(crowded)
     return links
 
@@ -168,11 +172,11 @@ def near_copies(df: DataFrame, key: str = "doc_id", text: str = "text", size: in
     """
     rows = materialise(index(df, key, text, size, similarity), "index")
     again = rows.select("content", "prefix").dropDuplicates(["content"]).select(F.explode("prefix").alias("x")).groupBy("x").count().where(F.col("count") > hot)
-    common = [r.x for r in again.orderBy(F.desc("count"), "x").limit(COMMON).collect()]  # at most COMMON numbers
-    if common:
+    common = again.orderBy(F.desc("count"), "x").limit(COMMON).select("x").toArrow()["x"].to_numpy()  # at most COMMON numbers
+    if len(common):
         discard(rows)
         release(df.sparkSession)
-        rows = materialise(index(df, key, text, size, similarity, np.sort(np.array(common, np.int64).view(np.uint64))), "index")
+        rows = materialise(index(df, key, text, size, similarity, np.sort(common.view(np.uint64))), "index")
     texts = rows.groupBy("content").agg(F.min("key").alias("key"), *(F.first(c).alias(c) for c in ("n", "fp", "sketch", "prefix")))
     texts = materialise(texts, "texts")
     links = jaccard_links(df, texts, key, text, size, similarity, hot, limit)

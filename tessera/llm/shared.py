@@ -10,6 +10,7 @@ import gc
 import tempfile
 import uuid
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -56,4 +57,5 @@ def discard(*tables: DataFrame) -> None:
 def release(spark: SparkSession) -> None:
     """Have Spark delete the shuffle files of plans that nothing refers to any more, rather than when the driver next happens to collect its garbage."""
     gc.collect()
+    pa.default_memory_pool().release_unused()
     spark.sparkContext._jvm.System.gc()

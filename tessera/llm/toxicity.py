@@ -58,7 +58,8 @@ class OrdinalModel:
 def select_features(docs: list[np.ndarray], positive: np.ndarray, weight: np.ndarray, least_docs: int = 3, lift: float = 4.0, most: int = 4096) -> np.ndarray:
     """Features in ``least_docs`` positive documents or more whose rate among those is ``lift`` times that of others; the most significant ones."""
     names, cols = np.unique(np.concatenate(docs), return_inverse=True)
-    share = np.repeat(weight, [len(d) for d in docs])
+    cols = cols.astype(np.int32)
+    share = np.repeat(weight.astype(np.float32), [len(d) for d in docs])
     of = np.repeat(positive, [len(d) for d in docs])
     n1, n0 = max(1.0, float((weight * positive).sum())), max(1.0, float((weight * ~positive).sum()))
     a, b = np.bincount(cols[of], share[of], len(names)), np.bincount(cols[~of], share[~of], len(names))

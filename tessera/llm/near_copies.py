@@ -77,7 +77,7 @@ def index(df: DataFrame, key: str, text: str, size: int, similarity: float, comm
 
 
 def set_rows(df: DataFrame, wanted: DataFrame, key: str, text: str, size: int) -> DataFrame:
-    """(content, shingles) of the texts in ``wanted`` (key, content)."""
+    """(content, shingles) of the texts in ``wanted`` (key, content); rows that repeat a key and a text give it again."""
     by_key = wanted.groupBy("key").agg(F.collect_set("content").alias("want"))
     rows = df.select(F.col(key).alias("_key"), F.col(text).cast("binary").alias("text")).join(by_key, F.col("_key").eqNullSafe(F.col("key"))).select("text", "want")
 
@@ -94,7 +94,7 @@ def set_rows(df: DataFrame, wanted: DataFrame, key: str, text: str, size: int) -
                         sets.append(s.view(np.int64))
                 yield pa.RecordBatch.from_arrays([pa.array(content, pa.int64()), pa.array(sets, pa.list_(pa.int64()))], ["content", "shingles"])
 
-    return rows.mapInArrow(run, "content long, shingles array<long>").dropDuplicates(["content"])
+    return rows.mapInArrow(run, "content long, shingles array<long>")
 
 
 def possible(pairs: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
@@ -114,8 +114,9 @@ def verified(df: DataFrame, pairs: DataFrame, texts: DataFrame, key: str, text:
     pairs = materialise(pairs.select("a", "b").distinct(), "pairs")
     wanted = pairs.select(F.explode(F.array("a", "b")).alias("content")).distinct().join(texts.select("content", "key"), "content")
     sets = materialise(set_rows(df, wanted, key, text, size), "sets")
+    release(df.sparkSession)
     both = pairs.join(sets.toDF("a", "sa"), "a").join(sets.toDF("b", "sb"), "b").withColumn("common", F.size(F.array_intersect("sa", "sb")))
-    links = materialise(both.where(F.col("common") >= similarity * (F.size("sa") + F.size("sb") - F.col("common")) - SLACK).select("a", "b"), "links")
+    links = materialise(both.where(F.col("common") >= similarity * (F.size("sa") + F.size("sb") - F.col("common")) - SLACK).select("a", "b").distinct(), "links")
     discard(pairs, sets)
     release(df.sparkSession)
     return links
@@ -143,11 +144,14 @@ def jaccard_links(df: DataFrame, texts: DataFrame, key: str, text: str, size: in
     release(df.sparkSession)
     side = lambda t, x: t.select("bucket", F.col("content").alias(x), *(F.col(c).alias(f"{c[0]}{x}") for c in ("n", "pos")))
     small = shared.where(F.col("size") <= hot)
-    pairs = possible(side(small, "a").join(side(small, "b"), "bucket").where("a < b"), texts, similarity)
-    links = verified(df, simhash_pairs(texts, limit).union(pairs), texts, key, text, size, similarity)
+    pairs = materialise(possible(side(small, "a").join(side(small, "b"), "bucket").where("a < b"), texts, similarity).union(simhash_pairs(texts, limit)), "pairs")
+    release(df.sparkSession)
+    links = verified(df, pairs, texts, key, text, size, similarity)
+    discard(pairs)
     crowded = shared.where(F.col("size") > hot).select("bucket", "content", "n", "pos").join(texts.select("content", "sketch"), "content")
     crowded = materialise(crowded.withColumnRenamed("content", "id"), "crowded")
     discard(shared)
+    release(df.sparkSession)
     if crowded.take(1):
 
         def verify(found: DataFrame) -> DataFrame:
@@ -179,6 +183,9 @@ def near_copies(df: DataFrame, key: str = "doc_id", text: str = "text", size: in
         rows = materialise(index(df, key, text, size, similarity, np.sort(common.view(np.uint64))), "index")
     texts = rows.groupBy("content").agg(F.min("key").alias("key"), *(F.first(c).alias(c) for c in ("n", "fp", "sketch", "prefix")))
     texts = materialise(texts, "texts")
+    own = materialise(rows.select("key", "content"), "keys")
+    discard(rows)
+    release(df.sparkSession)
     links = jaccard_links(df, texts, key, text, size, similarity, hot, limit)
     roots = connected_components(links)
     placed = texts.select("content", "key").join(roots.withColumnRenamed("node", "content"), "content", "left").withColumn("root", F.coalesce("root", "content"))
@@ -186,7 +193,7 @@ def near_copies(df: DataFrame, key: str = "doc_id", text: str = "text", size: in
     of = materialise(placed.join(lowest, "root").select("content", "component_id"), "components")
     discard(texts, links, roots)
     release(df.sparkSession)
-    return rows.join(of, "content").select(F.col("key").alias(key), "component_id")
+    return own.join(of, "content").select(F.col("key").alias(key), "component_id")
 
 
 def keep_one(df: DataFrame, key: str = "doc_id", **options) -> DataFrame:

@@ -22,6 +22,7 @@ def map_texts(df: DataFrame, key: str, text: str, f: Callable[[list], dict[str,
                 texts = part.column(part.num_columns - 1).to_pylist()
                 made = f(texts, part.column(0).to_pylist()) if keyed else f(texts)
                 yield pa.RecordBatch.from_arrays([*part.columns[:-1], *made.values()], [*names, *made])
+            pa.default_memory_pool().release_unused()  # workers outlive a stage
 
     out = rows.mapInArrow(run, ", ".join([*(f"{n} {k}" for n, k in zip(names, kinds, strict=True)), schema]))
     return out.withColumnsRenamed({"key": key} | dict(zip(names[1:], extra, strict=True)))

@@ -19,7 +19,7 @@ from .rows import labelled_sample, map_texts, numbered
 
 #: Labelled documents of each class that a model is fitted on, at most.
 PER_CLASS = 4000
-CACHE = 200_000
+CACHE = 100_000
 EDGE = "".join(chr(c) for c in range(33, 127) if not chr(c).isalnum())
 
 

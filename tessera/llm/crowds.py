@@ -2,10 +2,10 @@
 
 Of a bucket's members a few leaders are compared with all others; what they
 join is one component from then on. Members that aren't in their bucket's
-largest component lead in later rounds, MORE times as many each round, until
-every member has led or is in that component. So each link that would change
-a component is looked at, while a bucket of like members costs a few
-comparisons for each of them. No round gathers a bucket in one task.
+largest component lead in later rounds, more of them each round, until every
+member has led or is in that component. So each link that would change a
+component is looked at, while a bucket of like members costs a few comparisons
+for each of them. No round gathers a bucket in one task.
 """
 
 from __future__ import annotations
@@ -18,8 +18,8 @@ from pyspark.sql import functions as F
 from .graph import connected_components
 from .shared import discard, materialise, release
 
-#: Leaders of a bucket in the first round, and how many times as many in each later one.
-LEADERS, MORE = 2, 2048
+#: Leaders of a bucket in the first two rounds, and how many times as many in each later one.
+LEADERS, MORE = (8, 64), 2048
 
 
 def crowd_links(members: DataFrame, links: DataFrame, verify: Callable[[DataFrame], DataFrame], columns: list[str] = (), central: str | None = None, near: str = "true") -> DataFrame:
@@ -34,7 +34,7 @@ def crowd_links(members: DataFrame, links: DataFrame, verify: Callable[[DataFram
     its buckets at least.
     """
     own = list(columns)
-    led, lanes, turn = None, LEADERS, 0
+    led, lanes, turn = None, LEADERS[0], 0
     while True:
         roots = connected_components(links)
         placed = members.join(roots.toDF("id", "comp"), "id", "left").withColumn("comp", F.coalesce("comp", "id"))
@@ -61,4 +61,4 @@ def crowd_links(members: DataFrame, links: DataFrame, verify: Callable[[DataFram
         if waits == leads:  # all that were waiting have led
             discard(now)
             return more
-        links, led, lanes, turn = more, now, lanes * MORE, turn + 1
+        links, led, lanes, turn = more, now, lanes * MORE if turn else LEADERS[1], turn + 1

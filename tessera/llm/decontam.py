@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
-from .rows import numbered
+from .rows import give_back, numbered
 from .shared import materialise
 
 #: Edits allowed per hundred characters of a normalised item.
@@ -255,6 +255,7 @@ def contaminated(documents: DataFrame, benchmark: DataFrame, key: str = "doc_id"
                     cols = list(zip(*found, strict=True)) or [[]] * 5
                     owner = part.column(0).take(pa.array(cols[0], pa.int64()))
                     yield pa.RecordBatch.from_arrays([owner, pa.array(cols[1], item_type), *(pa.array(c, pa.int64()) for c in cols[2:])], ["key", "item", "start", "end", "edits"])
+            give_back()
 
         got = materialise(rows.mapInArrow(run, f"key {kind}, item {item_kind}, start long, end long, edits long"), "occurrences")
         shared.destroy()

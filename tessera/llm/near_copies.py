@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 from .crowds import crowd_links
 from .graph import connected_components
 from .paragraph_dedup import shingle_hashes, word_hashes
+from .rows import give_back
 from .shared import discard, materialise, release
 from .simhash import CHUNK, hamming_links, keep_rows, majority
 
@@ -71,6 +72,7 @@ def index(df: DataFrame, key: str, text: str, size: int, similarity: float, comm
                     prefix.append(s[: len(s) - int(np.ceil(similarity * len(s) - SLACK)) + 1].view(np.int64))
                 numbers = [pa.array(np.array(x, np.uint64).view(np.int64)) for x in (content, n, fps)]
                 yield pa.RecordBatch.from_arrays([part.column(0), *numbers, pa.array(sketches, pa.list_(pa.int64())), pa.array(prefix, pa.list_(pa.int64()))], ["key", "content", "n", "fp", "sketch", "prefix"])
+        give_back()
 
     rows = df.select(F.col(key).alias("key"), F.col(text).cast("binary").alias("text"))
     return rows.mapInArrow(run, f"key {kind}, content long, n long, fp long, sketch array<long>, prefix array<long>")
@@ -93,6 +95,7 @@ def set_rows(df: DataFrame, wanted: DataFrame, key: str, text: str, size: int) -
                         content.append(signed)
                         sets.append(s.view(np.int64))
                 yield pa.RecordBatch.from_arrays([pa.array(content, pa.int64()), pa.array(sets, pa.list_(pa.int64()))], ["content", "shingles"])
+        give_back()
 
     return rows.mapInArrow(run, "content long, shingles array<long>")
 
@@ -130,17 +133,19 @@ def simhash_pairs(texts: DataFrame, limit: int) -> DataFrame:
     return near.union(texts.join(low, "fp").where("content <> low").select("low", "content"))
 
 
-def jaccard_links(df: DataFrame, texts: DataFrame, key: str, text: str, size: int, similarity: float, hot: int, limit: int) -> DataFrame:
-    """(a, b): links between the contents of ``texts`` (content, key, n, fp, sketch, prefix), enough that components are exact.
+def jaccard_links(df: DataFrame, texts: DataFrame, prefixes: DataFrame, key: str, text: str, size: int, similarity: float, hot: int, limit: int) -> DataFrame:
+    """(a, b): links between the contents of ``texts`` (content, key, n, fp, sketch), enough that components are exact.
+
+    prefixes: (content, n, prefix) of the same texts, discarded when it has been read.
 
     Buckets of up to ``hot`` texts give their pairs, larger ones are linked by
     leaders; what SimHash has joined already isn't compared there again.
     """
-    rows = texts.select("content", "n", F.posexplode("prefix").alias("pos", "bucket"))
+    rows = prefixes.select("content", "n", F.posexplode("prefix").alias("pos", "bucket"))
     sizes = materialise(rows.groupBy("bucket").agg(F.count("*").alias("size")).where("size > 1"), "sizes")
     release(df.sparkSession)
     shared = materialise(rows.join(sizes, "bucket"), "buckets")
-    discard(sizes)
+    discard(sizes, prefixes)
     release(df.sparkSession)
     side = lambda t, x: t.select("bucket", F.col("content").alias(x), *(F.col(c).alias(f"{c[0]}{x}") for c in ("n", "pos")))
     small = shared.where(F.col("size") <= hot)
@@ -182,11 +187,12 @@ def near_copies(df: DataFrame, key: str = "doc_id", text: str = "text", size: in
         release(df.sparkSession)
         rows = materialise(index(df, key, text, size, similarity, np.sort(common.view(np.uint64))), "index")
     texts = rows.groupBy("content").agg(F.min("key").alias("key"), *(F.first(c).alias(c) for c in ("n", "fp", "sketch", "prefix")))
-    texts = materialise(texts, "texts")
+    prefixes = materialise(texts, "prefixes")
+    texts = materialise(prefixes.drop("prefix"), "texts")
     own = materialise(rows.select("key", "content"), "keys")
     discard(rows)
     release(df.sparkSession)
-    links = jaccard_links(df, texts, key, text, size, similarity, hot, limit)
+    links = jaccard_links(df, texts, prefixes, key, text, size, similarity, hot, limit)
     roots = connected_components(links)
     placed = texts.select("content", "key").join(roots.withColumnRenamed("node", "content"), "content", "left").withColumn("root", F.coalesce("root", "content"))
     lowest = placed.groupBy("root").agg(F.min("key").alias("component_id"))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -9,6 +10,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
+def give_back() -> None:
+    """Return the memory that this worker has freed to the system: workers outlive a stage."""
+    pa.default_memory_pool().release_unused()
+    if trim := getattr(ctypes.CDLL(None), "malloc_trim", None):
+        trim(0)
+
+
 def map_texts(df: DataFrame, key: str, text: str, f: Callable[[list], dict[str, pa.Array]], schema: str, extra: list[str] = (), keyed: bool = False) -> DataFrame:
     """(key, *extra, *schema): ``f`` gets a batch's texts as bytes (None for null), and their keys if ``keyed``, and returns columns."""
     names = ["key", *(f"x{i}" for i in range(len(extra)))]
@@ -22,7 +30,8 @@ def map_texts(df: DataFrame, key: str, text: str, f: Callable[[list], dict[str,
                 texts = part.column(part.num_columns - 1).to_pylist()
                 made = f(texts, part.column(0).to_pylist()) if keyed else f(texts)
                 yield pa.RecordBatch.from_arrays([*part.columns[:-1], *made.values()], [*names, *made])
-            pa.default_memory_pool().release_unused()  # workers outlive a stage
+            del b, part, texts, made
+            give_back()
 
     out = rows.mapInArrow(run, ", ".join([*(f"{n} {k}" for n, k in zip(names, kinds, strict=True)), schema]))
     return out.withColumnsRenamed({"key": key} | dict(zip(names[1:], extra, strict=True)))

@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from .crowds import crowd_links
 from .graph import connected_components
-from .rows import numbered
+from .rows import give_back, numbered
 from .shared import discard, materialise, release
 
 SEED = 42
@@ -64,6 +64,7 @@ def fingerprints(df: DataFrame, key: str = "doc_id", text: str = "text", shingle
             texts = b.column(1).cast(pa.binary()) if not pa.types.is_binary(b.column(1).type) else b.column(1)
             fp = np.fromiter((fingerprint(t.as_py(), shingle) for t in texts), np.uint64, len(texts))
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fp.view(np.int64))], ["key", "fp"])
+        give_back()
 
     rows = df.select(F.col(key).alias("key"), F.col(text).cast("binary").alias("text"))
     return rows.mapInArrow(run, f"key {kind.simpleString()}, fp long").withColumnRenamed("key", key)

@@ -29,7 +29,7 @@ SPACE = "▁"
 NORMAL, BYTE = 1, 6
 M64, M32 = (1 << 64) - 1, (1 << 32) - 1
 #: Segments whose ids are kept, segments looked at together, and the longest that goes through the arrays. All three only bound memory.
-CACHE, GROUP, LONG = 150_000, 1 << 16, 40
+CACHE, GROUP, LONG = 300_000, 1 << 18, 40
 
 
 def _varint(data: bytes, at: int) -> tuple[int, int]:

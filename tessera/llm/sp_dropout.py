@@ -413,11 +413,13 @@ class Encoder:
 
     def _group(self, segments: list[str], keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all segments, and how many each has."""
-        long = [i for i, x in enumerate(segments) if len(x) > LONG or x[1:2] == SPACE or not self.agenda.exact]
+        known = self.known
+        new, apart = set(segments).difference(known.place), lambda x: len(x) > LONG or x[1:2] == SPACE or not self.agenda.exact
+        far = set(filter(apart, new))  # what is known already isn't one of these
+        long = [i for i, x in enumerate(segments) if x in far] if far else []
         own = {i: np.array(merge(self.vocabulary, segments[i], int(keys[i]), self.skip), np.int64) for i in long}
         short = segments if not long else ["" if i in own else x for i, x in enumerate(segments)]
-        known = self.known
-        if new := set(short).difference(known.place):
+        if new := set(short).difference(known.place) if far else new:
             if len(known.place) + len(new) > CACHE:
                 known.clear()
                 new = set(short)
@@ -427,12 +429,12 @@ class Encoder:
         size, store = stop - start, [known.ids]
         if self.skip:
             n = last - first
-            mixed = known.candidates[gather(first, n)].astype(np.uint64) ^ np.repeat(keys, n)
-            hit = np.flatnonzero((mixed * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(32)) < np.uint64(self.skip))
+            mixed = known.candidates[gather(first, n)] ^ np.repeat(keys.astype(np.uint32), n)
+            hit = np.flatnonzero((mixed.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(32)) < np.uint64(self.skip))
             todo = np.zeros(len(short), bool)
             todo[np.searchsorted(np.cumsum(n), hit, "right")] = True
             todo = np.flatnonzero(todo)
-            length = np.fromiter(map(len, short), np.int64, len(short))[todo]
+            length = np.fromiter((len(short[i]) for i in todo.tolist()), np.int64, len(todo))
             base = len(known.ids)
             for lo, hi in zip((0, *WIDTHS), WIDTHS):
                 some = todo[(length > lo) & (length <= hi)]

@@ -10,12 +10,12 @@ agenda, many at a time in arrays.
 
 from __future__ import annotations
 
-import bisect
 import heapq
 import re
 import struct
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -30,6 +30,8 @@ NORMAL, BYTE = 1, 6
 M64, M32 = (1 << 64) - 1, (1 << 32) - 1
 #: Segments whose ids are kept, segments looked at together, and the longest that goes through the arrays. All three only bound memory.
 CACHE, GROUP, LONG = 300_000, 1 << 18, 40
+#: Segments that go through the arrays at once.
+BLOCK = 1 << 14
 
 
 def _varint(data: bytes, at: int) -> tuple[int, int]:
@@ -83,9 +85,9 @@ class Pieces:
         #: Whether ids rank pieces, but for runs of spaces, as their scores do.
         ranked = [self.score[i] for t, i in self.ids.items() if len(t) > 1 and t.strip(SPACE)]
         self.ordered = all(a > b for a, b in zip(ranked, ranked[1:]))
-        crossing = any(re.search(f"[^{SPACE}]{SPACE}", t) for t in self.ids)
-        #: No merge crosses from a word to the space after it, so segments can be encoded one by one.
-        self.cut = re.compile("(?s).+" if crossing else f"{SPACE}+[^{SPACE}]*|[^{SPACE}]+")
+        #: Whether a merge can cross from a word to the space after it; where none can, segments are encoded one by one.
+        self.crossing = any(re.search(f"[^{SPACE}]{SPACE}", t) for t in self.ids)
+        self.cut = re.compile("(?s).+" if self.crossing else f"{SPACE}+[^{SPACE}]*|[^{SPACE}]+")
 
 
 @lru_cache(2)
@@ -173,7 +175,7 @@ class Agenda:
     def __init__(self, vocabulary: Pieces):
         v, self.base = vocabulary, len(vocabulary.text)
         self.vocabulary = v
-        self.char = np.arange(0x110000, dtype=np.int64) + self.base  # characters that are no piece have numbers of their own
+        self.char = np.arange(0x110000, dtype=np.int32) + self.base  # characters that are no piece have numbers of their own
         for t, i in v.ids.items():
             if len(t) == 1:
                 self.char[ord(t)] = i
@@ -207,7 +209,7 @@ class Agenda:
 
     def ranks(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         """The rank of the piece that symbols a and b make, NONE where they make none or one of them is missing (-1)."""
-        pair = a << 32 | b
+        pair = a.astype(np.int64) << 32 | b
         at = self._slot(pair)
         out = self.value[at]
         wrong = np.flatnonzero(self.key[at] != pair)
@@ -220,21 +222,27 @@ class Agenda:
             wrong = wrong[~hit]
         return out
 
-    def run(self, segments: list[str], keys: np.ndarray | None, skip: int) -> tuple[np.ndarray, np.ndarray, tuple[np.ndarray, np.ndarray, np.ndarray]]:
-        """(ids of all segments, ids of each, candidates: segment, left, piece in the order they came up)."""
-        n, size = len(segments), np.fromiter(map(len, segments), np.int64, len(segments))
-        width = int(size.max(initial=1))
+    def symbols(self, segments: list[str], size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(symbol of each character, rank of what it and the next one of its segment make) of all segments."""
+        symbol = self.char[np.frombuffer("".join(segments).encode("utf-32-le", "surrogatepass"), np.uint32)]
+        rank = np.full(len(symbol), self.NONE, np.int32)
+        last = np.zeros(len(symbol), bool)
+        last[(np.cumsum(size) - 1)[size > 0]] = True
+        joint = np.flatnonzero(~last)
+        for at in range(0, len(joint), BLOCK):
+            some = joint[at : at + BLOCK]
+            rank[some] = self.ranks(symbol[some], symbol[some + 1])
+        return symbol, rank
+
+    def run(self, symbols: np.ndarray, ranks: np.ndarray, size: np.ndarray, keys: np.ndarray | None, skip: int) -> tuple[np.ndarray, np.ndarray, tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """(ids of all segments, ids of each, candidates: segment, left, piece in the order they came up); symbols and ranks as ``symbols`` gives them."""
+        n, width = len(size), int(size.max(initial=1))
         stride = width + 2  # one place after the last symbol, one before the first
-        code = np.frombuffer("".join(segments).encode("utf-32-le", "surrogatepass"), np.uint32)
-        row = np.repeat(np.arange(n), size)
-        col = np.arange(len(code)) - np.repeat(np.cumsum(size) - size, size)
-        symbol = np.full(n * stride, -1, np.int64)
-        symbol[row * stride + col] = self.char[code]
+        at = gather(np.arange(n) * stride, size)
+        symbol, rank = np.full(n * stride, -1, np.int32), np.full(n * stride, self.NONE, np.int32)
+        symbol[at], rank[at] = symbols, ranks
         after, before = np.tile(np.arange(1, stride + 1, dtype=np.int16), n), np.tile(np.arange(-1, stride - 1, dtype=np.int16), n)
         before[::stride] = width + 1
-        rank = np.full(n * stride, self.NONE, np.int32)
-        joint = (row * stride + col)[np.flatnonzero(col < np.repeat(size, size) - 1)]
-        rank[joint] = self.ranks(symbol[joint], symbol[joint + 1])
         table, live, seen = rank.reshape(n, stride), np.arange(n), []
         while len(live):
             now = table[live]
@@ -296,38 +304,54 @@ def gather(start: np.ndarray, size: np.ndarray) -> np.ndarray:
 WIDTHS = (6, 8, 10, 12, 16, 24, LONG)
 
 
-def by_length(segments: list[str]) -> list[list[str]]:
-    """The segments, those of about equal length together."""
-    out: list[list[str]] = [[] for _ in WIDTHS]
-    for x in segments:
-        out[bisect.bisect_left(WIDTHS, len(x))].append(x)
-    return [x for x in out if x]
+def batches(size: np.ndarray) -> Iterator[np.ndarray]:
+    """Numbers of segments, those of about equal length together, BLOCK at a time, so that their arrays stay in the processor's cache."""
+    kind = np.searchsorted(WIDTHS, size)
+    order = np.argsort(kind, kind="stable")
+    for some in np.split(order, np.flatnonzero(np.diff(kind[order])) + 1):
+        for at in range(0, len(some), BLOCK):
+            yield some[at : at + BLOCK]
 
 
 class Known:
-    """What segments become if no candidate is skipped, and their candidates; both in flat arrays. Emptied when it has CACHE segments."""
+    """Segments' symbols, what they become if no candidate is skipped, and their candidates; all in flat arrays. Emptied when it has CACHE segments."""
 
     def __init__(self, own: Agenda):
         self.agenda = own
         self.clear()
 
     def clear(self) -> None:
-        self.place: dict[str, int] = {}
+        self.place: dict[bytes, int] = {b"": 0}
         self.ids, self.candidates = np.zeros(0, np.int32), np.zeros(0, np.uint32)
-        self.bounds = [np.zeros(1, np.int64), np.zeros(1, np.int64)]
-
-    def add(self, segments: list[str]) -> None:
-        if len(self.place) + len(segments) > CACHE:
-            self.clear()
-        for some in by_length(segments):
-            n = len(self.place)
-            self.place.update(zip(some, range(n, n + len(some))))
-            ids, count, (row, left, found) = self.agenda.run(some, None, 0)
-            mixed = ((left * 0x85EBCA77 ^ found * 0xC2B2AE3D) & M32).astype(np.uint32)
-            order = np.argsort(row, kind="stable")
-            self.ids, self.candidates = np.concatenate([self.ids, ids.astype(np.int32)]), np.concatenate([self.candidates, mixed[order]])
-            sizes = (count, np.bincount(row, minlength=len(some)))
-            self.bounds = [np.concatenate([b, b[-1] + np.cumsum(c)]) for b, c in zip(self.bounds, sizes, strict=True)]
+        self.symbols, self.ranks = np.zeros(0, np.int32), np.zeros(0, np.int32)
+        #: Where the symbols, ids and candidates of each segment begin and the last one's end.
+        self.bounds = [np.zeros(2, np.int64) for _ in range(3)]
+
+    def add(self, names: list[bytes], segments: list[str]) -> np.ndarray:
+        """The places of new segments, which are kept by name."""
+        size = np.fromiter(map(len, segments), np.int64, len(segments))
+        groups = list(batches(size))
+        order = np.concatenate(groups)
+        segments, size = [segments[i] for i in order.tolist()], size[order]
+        place = np.empty(len(order), np.int64)
+        place[order] = np.arange(len(self.place), len(self.place) + len(order))
+        self.place.update(zip(names, place.tolist()))
+        symbols, ranks = self.agenda.symbols(segments, size)
+        ends = np.concatenate([[0], np.cumsum(size)])
+        ids, mixed, counts, seen, at = [self.ids], [self.candidates], [], [], 0
+        for some in map(len, groups):
+            flat = slice(ends[at], ends[at + some])
+            made, count, (row, left, found) = self.agenda.run(symbols[flat], ranks[flat], size[at : at + some], None, 0)
+            ids.append(made.astype(np.int32))
+            counts.append(count)
+            mixed.append(((left * 0x85EBCA77 ^ found * 0xC2B2AE3D) & M32).astype(np.uint32)[np.argsort(row, kind="stable")])
+            seen.append(np.bincount(row, minlength=some))
+            at += some
+        self.ids, self.candidates = np.concatenate(ids), np.concatenate(mixed)
+        self.symbols, self.ranks = np.concatenate([self.symbols, symbols]), np.concatenate([self.ranks, ranks])
+        sizes = (size, np.concatenate(counts), np.concatenate(seen))
+        self.bounds = [np.concatenate([b, b[-1] + np.cumsum(c)]) for b, c in zip(self.bounds, sizes, strict=True)]
+        return place
 
 
 class Encoder:
@@ -361,16 +385,16 @@ class Encoder:
 
     def encode_all(self, texts: list[str], keys: list[int]) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts, ids of each)."""
-        parts: list[tuple[str, int, int]] = []  # text, key, place of its first segment
+        parts: list[tuple[bytes, int]] = []
         marks = [0] * len(texts)
         mark = [self.vocabulary.byte[b] for b in SPACE.encode()]
         owners: list[int] = []
         for d, (text, key) in enumerate(zip(texts, keys, strict=True)):
             if text:
                 # the mark for a space, where a text has it itself, is encoded by its bytes
-                for i, part in enumerate((" " + text).split(SPACE)):
+                for i, part in enumerate((" " + text).encode("utf-8", "surrogatepass").split(SPACE.encode())):
                     marks[d] = i
-                    parts.append((part, key + i, d))
+                    parts.append((part, key + i))
                     owners.append(d)
         done, sizes = [], []
         for ids, size in self._parts(parts):
@@ -387,62 +411,83 @@ class Encoder:
             flat, size = np.concatenate(out), size + later * len(mark)
         return flat, np.bincount(np.array(owners, np.int64), size, len(texts)).astype(np.int64)
 
-    def _parts(self, parts: list[tuple[str, int, int]]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        """(ids, ids of each) of some of the parts after the other, about GROUP segments at a time; a part without U+2581 in it."""
-        segments, keys, count = [], [], []
-        for text, key, _ in parts:
-            own = self.vocabulary.cut.findall(text.replace(" ", SPACE))
-            segments += own
-            keys.append(self.keys(key, len(own)))
-            count.append(len(own))
-            if len(segments) >= GROUP:
-                yield self._ids(segments, np.concatenate(keys), np.array(count))
-                segments, keys, count = [], [], []
-        if count:
-            yield self._ids(segments, np.concatenate(keys), np.array(count))
-
-    def _ids(self, segments: list[str], keys: np.ndarray, count: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        ids, size = [], []
-        for at in range(0, len(segments), GROUP):
-            i, s = self._group(segments[at : at + GROUP], keys[at : at + GROUP])
-            ids.append(i)
-            size.append(s)
+    def _parts(self, parts: list[tuple[bytes, int]]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """(ids, ids of each) of some of the parts (text without U+2581, key) after the other, about GROUP segments at a time."""
+        some, total = [], 0
+        for part in parts:
+            some.append(part)
+            total += len(part[0])
+            if total >= 8 * GROUP:
+                yield self._ids(some)
+                some, total = [], 0
+        if some:
+            yield self._ids(some)
+
+    def _ids(self, parts: list[tuple[bytes, int]]) -> tuple[np.ndarray, np.ndarray]:
+        data = np.frombuffer(b"".join(text for text, _ in parts), np.uint8)
+        length = np.array([len(text) for text, _ in parts], np.int64)
+        ends = np.concatenate([[0], np.cumsum(length)])
+        # as ``cut`` does: a segment is a run of spaces with what follows it, or what a part has before its first space
+        space = data == 32
+        first = space & (not self.vocabulary.crossing)
+        first[1:] &= ~space[:-1]
+        first[ends[:-1][length > 0]] = True
+        bounds = np.append(np.flatnonzero(first), len(data))
+        at = np.searchsorted(bounds[:-1], ends)
+        keys = np.concatenate([self.keys(key, n) for (_, key), n in zip(parts, np.diff(at).tolist(), strict=True)])
+        ids, size, held = [], [], pa.py_buffer(data)
+        for i in range(0, len(keys), GROUP):
+            n = min(GROUP, len(keys) - i)
+            segments = pa.LargeBinaryArray.from_buffers(pa.large_binary(), n, [None, pa.py_buffer(bounds[i : i + n + 1].copy()), held])
+            made, count = self._group(segments, keys[i : i + n])
+            ids.append(made)
+            size.append(count)
         size = np.concatenate([np.zeros(0, np.int64), *size])
-        ends = np.concatenate([[0], np.cumsum(size)])[np.concatenate([[0], np.cumsum(count)])]
-        return np.concatenate([np.zeros(0, np.int64), *ids]), np.diff(ends)
+        return np.concatenate([np.zeros(0, np.int64), *ids]), np.diff(np.concatenate([[0], np.cumsum(size)])[at])
 
-    def _group(self, segments: list[str], keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    def _group(self, segments: pa.LargeBinaryArray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all segments, and how many each has."""
-        known = self.known
-        new, apart = set(segments).difference(known.place), lambda x: len(x) > LONG or x[1:2] == SPACE or not self.agenda.exact
-        far = set(filter(apart, new))  # what is known already isn't one of these
-        long = [i for i, x in enumerate(segments) if x in far] if far else []
-        own = {i: np.array(merge(self.vocabulary, segments[i], int(keys[i]), self.skip), np.int64) for i in long}
-        short = segments if not long else ["" if i in own else x for i, x in enumerate(segments)]
-        if new := set(short).difference(known.place) if far else new:
-            if len(known.place) + len(new) > CACHE:
-                known.clear()
-                new = set(short)
-            known.add(list(new))
-        place = np.fromiter(map(known.place.__getitem__, short), np.int64, len(short))
-        (start, first), (stop, last) = (b[place] for b in known.bounds), (b[place + 1] for b in known.bounds)
+        known, own = self.known, {}
+        coded = segments.dictionary_encode()
+        index, names = coded.indices.to_numpy(), coded.dictionary.to_pylist()
+        spell = lambda i: names[i].decode("utf-8", "surrogatepass").replace(" ", SPACE)
+        place = np.fromiter(map(known.place.get, names, repeat(-1)), np.int64, len(names))
+        new, far = {}, {}
+        for i in np.flatnonzero(place < 0).tolist():
+            x = spell(i)
+            # what is known already isn't far
+            (far if len(x) > LONG or x[1:2] == SPACE or not self.agenda.exact else new)[i] = x
+        if len(known.place) + len(new) > CACHE:
+            known.clear()
+            new = {i: new[i] if i in new else spell(i) for i in range(len(names)) if i not in far}
+        if new:
+            place[list(new)] = known.add([names[i] for i in new], list(new.values()))
+        if far:
+            place[list(far)] = 0  # the empty segment
+            apart = np.zeros(len(names), bool)
+            apart[list(far)] = True
+            own = {j: np.array(merge(self.vocabulary, far[int(index[j])], int(keys[j]), self.skip), np.int64) for j in np.flatnonzero(apart[index]).tolist()}
+        place = place[index]
+        (low, start, first), (high, stop, last) = (b[place] for b in known.bounds), (b[place + 1] for b in known.bounds)
         size, store = stop - start, [known.ids]
         if self.skip:
-            n = last - first
-            mixed = known.candidates[gather(first, n)] ^ np.repeat(keys.astype(np.uint32), n)
-            hit = np.flatnonzero((mixed.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(32)) < np.uint64(self.skip))
-            todo = np.zeros(len(short), bool)
-            todo[np.searchsorted(np.cumsum(n), hit, "right")] = True
-            todo = np.flatnonzero(todo)
-            length = np.fromiter((len(short[i]) for i in todo.tolist()), np.int64, len(todo))
+            below, todo = np.uint64(self.skip << 32), []
+            for at in range(0, len(place), BLOCK):
+                own_first = first[at : at + BLOCK]
+                n = last[at : at + BLOCK] - own_first
+                mixed = known.candidates[gather(own_first, n)] ^ np.repeat(keys[at : at + BLOCK].astype(np.uint32), n)
+                hit = np.flatnonzero(mixed * np.uint64(0x9E3779B97F4A7C15) < below)
+                here = np.searchsorted(np.cumsum(n), hit, "right")
+                todo.append(at + here[np.diff(here, prepend=-1) > 0])
+            todo = np.concatenate(todo)
+            low, length = low[todo], (high - low)[todo]
             base = len(known.ids)
-            for lo, hi in zip((0, *WIDTHS), WIDTHS):
-                some = todo[(length > lo) & (length <= hi)]
-                if len(some):
-                    ids, count, _ = self.agenda.run([short[i] for i in some.tolist()], keys[some], self.skip)
-                    store.append(ids)
-                    start[some], size[some] = base + np.cumsum(count) - count, count
-                    base += len(ids)
+            for group in batches(length):
+                some, flat = todo[group], gather(low[group], length[group])
+                ids, count, _ = self.agenda.run(known.symbols[flat], known.ranks[flat], length[group], keys[some], self.skip)
+                store.append(ids.astype(np.int32))
+                start[some], size[some] = base + np.cumsum(count) - count, count
+                base += len(ids)
         else:
             base = len(known.ids)
         for i, ids in own.items():

@@ -132,10 +132,12 @@ def license_scan(df: DataFrame, key: str = "doc_id", text: str = "text", sentenc
     long; repeated rows give repeated rows, an empty table none. Other columns
     are ignored. There is no shuffle and no Python on the way.
     """
+    own = sentences is not None
     sentences, rules = sentences or SENTENCES | HEADER_SENTENCES, rules or RULES + HEADER_RULES
     low = F.lower(F.coalesce(F.col(text), F.lit("")))
     rows = df.select(F.col(key), low.alias("_low"))
-    rows = rows.withColumn("_low", F.when(F.col("_low").rlike(SEEN), F.col("_low")))
+    if not own:  # a caller's sentences need not have any of these words
+        rows = rows.withColumn("_low", F.when(F.col("_low").rlike(SEEN), F.col("_low")))
     for name, cut in (("_line", BY_LINE), ("_para", BY_PARAGRAPH)):
         rows = rows.withColumn(name, F.coalesce(identifiers(F.col("_low"), cut, sentences), F.lit("")))
     rows = rows.withColumn("_more", F.length(F.regexp_replace("_para", "[^;]", "")) > F.length(F.regexp_replace("_line", "[^;]", "")))

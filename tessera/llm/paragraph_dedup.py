@@ -3,8 +3,8 @@
 Texts are cut into paragraphs where their words say so, so equal passages are
 cut alike wherever they stand. Paragraphs that collide in a MinHash band of
 five-word shingles are verified by their exact edit distance in words (a fifth
-may differ) and clustered by components; a class of equal or linked paragraphs belongs to the
-document with the smallest key that has one. As a passage of little over 50
+may differ) and clustered by components. A paragraph is compared with the first of its class,
+with its own first occurrence and, once for each link, with the paragraph it is linked to. As a passage of little over 50
 words need not hold a whole paragraph, anchors add what paragraphs can't see:
 of every 13 neighbouring runs of 12 words the one with the least hash, so texts
 that agree over 24 words share one. Paragraphs and anchors say which two texts
@@ -37,8 +37,8 @@ REACH, LONGEST = 28, 160
 ROWS, RECALL = 4, 0.95
 #: Words of an anchor; of so many neighbours one is an anchor; so far beyond an anchor texts are compared.
 ANCHOR, WINDOW, RADIUS = 12, 13, 48
-#: Words of the least passage that is reported, and of the least paragraph that is compared with others: only a text's last can be shorter.
-MIN_WORDS, LEAST = 40, 25
+#: Words of the least passage that is reported.
+MIN_WORDS = 40
 #: Words of a text that are kept together for comparing, and how many different codes words have there: UTF-16 characters that stand alone.
 CHUNK, CODES = 128, np.uint64(0xD800)
 A, B, C = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB))
@@ -423,12 +423,9 @@ def paragraph_lines(found: DataFrame, bands: int, similarity: float, hot: int) -
     release(found.sparkSession)
 
     def held(wanted: DataFrame) -> DataFrame:
-        """The words that the index has, one character each, of paragraphs of which half the words or more are different.
-
-        Text that says the same again and again is like itself at any place; its copies are found as equals and by anchors.
-        """
+        """The words that the index has, one character each."""
         rows = wanted.select("content").join(firsts.select("content", "key", "pos", "n"), "content").join(found.select("key", "words"), "key")
-        return rows.select("content", F.decode(F.substring("words", 2 * F.col("pos") + 1, 2 * F.col("n")), "UTF-16LE").alias("own")).dropDuplicates(["content"]).where("2 * size(array_distinct(split(own, ''))) >= length(own)")
+        return rows.select("content", F.decode(F.substring("words", 2 * F.col("pos") + 1, 2 * F.col("n")), "UTF-16LE").alias("own")).dropDuplicates(["content"])
 
     # similar: all but a fifth of the words stay, the others put in, left out or changed; a changed word turns at most two of 256 bits
     allowed = lambda a, b: f"cast(floor({1 - similarity:.6f} * greatest({a}, {b}) + 1e-6) as int)"
@@ -436,15 +433,23 @@ def paragraph_lines(found: DataFrame, bands: int, similarity: float, hot: int) -
     odd = lambda k: f"aggregate(transform(split(own, ''), g -> pmod(xxhash64(g), 256)), 0L, (s, c) -> if(c div 64 = {k}, s ^ shiftleft(1L, cast(c % 64 as int)), s))"
     columns = {"n": "length(own)"} | {f"w{k}": odd(k) for k in range(4)}
     near = " + ".join(f"bit_count(w{k} ^ w{k}_b)" for k in range(4)) + f" <= 2 * {allowed('n', 'n_b')}"
-    links = near_links(found, firsts.where(F.col("n") >= LEAST), "key", "words", bands, similarity, hot, held, close, (columns, near))
+    links = near_links(found, firsts, "key", "words", bands, similarity, hot, held, close, (columns, near))
     roots = connected_components(links)
     classes = firsts.join(roots.toDF("content", "root"), "content", "left").where("again or root is not null").withColumn("root", F.coalesce("root", "content"))
     classes = materialise(classes.select("content", "root", "key", "pos", "n"), "classes")
     least = classes.groupBy("root").agg(F.min(F.struct("key", "pos", "n")).alias("x"))
-    wanted = materialise(classes.join(least, "root").select("content", F.col("x.key").alias("first_key"), F.col("x.pos").alias("first_pos"), F.col("x.n").alias("first_n")), "wanted")
+    there = ["first_key", "first_pos", "first_n"]
+    of_class = classes.join(least, "root").select("content", *(F.col(f"x.{c}").alias(t) for c, t in zip(["key", "pos", "n"], there)))
+    # a class reaches further than its links: what is unlike its first paragraph is compared with its own first occurrence, and that along each link
+    of_own = classes.select("content", *(F.col(c).alias(t) for c, t in zip(["key", "pos", "n"], there)))
+    wanted = materialise(of_class.union(of_own).distinct(), "wanted")
+    ends = [firsts.select(F.col("content").alias(c), F.struct("key", "pos", "n").alias(f"at_{c}")) for c in "ab"]
+    linked = links.join(ends[0], "a").join(ends[1], "b").select(F.greatest("at_a", "at_b").alias("x"), F.least("at_a", "at_b").alias("y"))
+    linked = materialise(linked.select("x.*", *(F.col(f"y.{c}").alias(t) for c, t in zip(["key", "pos", "n"], there))).where("key <> first_key").distinct(), "linked")
     discard(firsts, links, roots, classes)
     release(found.sparkSession)
     hits = units.select("key", "pos", "n", "content").join(wanted, "content").where("key <> first_key")
+    hits = hits.select("key", "pos", "n", *there).union(linked)
     # from the two first words on and, where lengths differ, back from the two last
     shifts = F.array_distinct(F.array(F.col("pos") - F.col("first_pos"), F.col("pos") + F.col("n") - F.col("first_pos") - F.col("first_n")))
     return materialise(hits.select("key", "first_key", F.explode(shifts).alias("shift"), F.col("pos").alias("lo"), F.greatest("pos", F.col("pos") + F.col("n") - ANCHOR).alias("hi")), "paragraph-lines")
@@ -490,8 +495,8 @@ def repeated_passages(df: DataFrame, key: str = "doc_id", text: str = "text", ro
     too, word by word or, where stretches that agree are near each other, with
     a Jaccard similarity of 0.8 or more over five-word shingles; it ends where
     the texts stop agreeing. Spans are bytes of the text as UTF-8. first_key is
-    the document with the smallest key that has the words it was found by,
-    which keeps its first occurrence; all others are marked removed. Documents
+    a document with a smaller key that has the words it was found by and keeps
+    them there; a passage found in several has a row for each. All others are marked removed. Documents
     without repeated passages have no row. Rows without a key and null or empty
     texts have no passages; rows that repeat a key count as one document, with
     the least of their texts; an empty table gives no rows; other columns are

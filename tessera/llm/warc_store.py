@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .shared import materialise, shared_path
+from .shared import discard, materialise, release, shared_path
 
 BASE32 = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
 CRLF = "\r\n"
@@ -66,14 +66,17 @@ def write_archive(pages: DataFrame, path: str, min_bytes: int = 0) -> None:
     seen = materialise(pages.select("page_id", "url", *payload_columns(payload)), "warc-digests")
     first = seen.groupBy("digest").agg(F.max("page_id").alias("response"))
     mine = F.col("page_id").eqNullSafe(F.col("response")) | (F.col("payload_bytes") < min_bytes)
-    records = seen.join(first, "digest").withColumn("record_type", F.when(mine, "response").otherwise("revisit"))
-    records = records.withColumn("refers_to", F.when(~mine, F.col("response")))
-    records.select("digest", header_block().alias("header")).write.parquet(f"{path}/headers")
     tag = F.concat("digest", F.lit(":"), F.coalesce(F.col("page_id").cast("string"), F.lit("")))
     holders = first.select("digest", F.col("response").alias("page_id")).select(tag.alias("tag"))
     rows = pages.select("page_id", payload.alias("payload")).withColumn("digest", F.sha2("payload", 256))
     kept = rows.select(tag.alias("tag"), "digest", "payload").join(holders, "tag", "left_semi").dropDuplicates(["tag"])
     kept.select("digest", "payload").write.parquet(f"{path}/payloads")
+    records = seen.join(first, "digest").withColumn("record_type", F.when(mine, "response").otherwise("revisit"))
+    records = records.withColumn("refers_to", F.when(~mine, F.col("response")))
+    records.select("digest", header_block().alias("header")).write.parquet(f"{path}/headers")
+    # what sorted the payloads out goes before anything reads them back; Spark holds on to the last job's files, so headers come last
+    discard(seen)
+    release(pages.sparkSession)
 
 
 def _field(name: str) -> Column:

@@ -19,7 +19,7 @@ from .graph import connected_components
 from .shared import discard, materialise, release
 
 #: Leaders of a bucket in the first two rounds, and how many times as many in each later one.
-LEADERS, MORE = (8, 64), 2048
+LEADERS, MORE = (8, 64), 1 << 24
 
 
 def crowd_links(members: DataFrame, links: DataFrame, verify: Callable[[DataFrame], DataFrame], columns: list[str] = (), central: str | None = None, near: str = "true") -> DataFrame:

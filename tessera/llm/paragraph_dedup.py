@@ -221,20 +221,19 @@ def near_links(df: DataFrame, groups: DataFrame, key: str, text: str, bands: int
         return shared.select(F.col("content").alias("a"), F.col("content").alias("b"))
     wanted = shared.select("content").distinct().join(groups.select("content", "key"), "content")
     sets = materialise(held(wanted), "held")
-    known = materialise(shared.join(sets.select("content"), "content", "left_semi"), "buckets")
+    columns, near = screen or ({}, "true")
+    known = materialise(shared.join(sets.select("content", *(F.expr(x).alias(c) for c, x in columns.items())), "content"), "buckets")
     discard(shared)
     shared = known
 
     def verify(pairs: DataFrame) -> DataFrame:
         return pairs.select("a", "b").distinct().join(sets.toDF("a", "x"), "a").join(sets.toDF("b", "y"), "b").where(close).select("a", "b")
 
-    small = shared.where(F.col("size") <= hot).select("bucket", "content")
-    pairs = small.withColumnRenamed("content", "a").join(small.withColumnRenamed("content", "b"), "bucket").where("a < b")
+    small = shared.where(F.col("size") <= hot).drop("size")
+    others = small.withColumnsRenamed({"content": "b"} | {c: f"{c}_b" for c in columns})
+    pairs = small.withColumnRenamed("content", "a").join(others, "bucket").where("a < b").where(near).select("a", "b")
     links = materialise(verify(pairs), "links")
-    columns, near = screen or ({}, "true")
-    crowded = shared.where(F.col("size") > hot).select("bucket", "content")
-    crowded = crowded.join(sets.select("content", *(F.expr(x).alias(c) for c, x in columns.items())), "content") if columns else crowded
-    crowded = materialise(crowded.withColumnRenamed("content", "id"), "crowded")
+    crowded = materialise(shared.where(F.col("size") > hot).drop("size").withColumnRenamed("content", "id"), "crowded")
     if crowded.take(1):
         links = crowd_links(crowded, links, verify, list(columns), near=near)
     discard(shared, sets, crowded)

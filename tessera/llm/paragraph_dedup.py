@@ -41,6 +41,11 @@ ANCHOR, WINDOW, RADIUS = 12, 13, 48
 MIN_WORDS = 40
 #: Words of a text that are kept together for comparing, and how many different codes words have there: UTF-16 characters that stand alone.
 CHUNK, CODES = 128, np.uint64(0xD800)
+#: SQL: 256 bits over the characters of ``own``, each with how often it was there before: a bit is 1 if an odd number of them has it.
+SKETCH = (
+    "aggregate(array_sort(split(own, '')), named_struct('g', '', 'c', 0, 'w', array(0L, 0L, 0L, 0L)), (s, g) -> transform(array(if(g = s.g, s.c + 1, 0)), c -> "
+    "transform(array(pmod(xxhash64(g, c), 256)), p -> named_struct('g', g, 'c', c, 'w', transform(s.w, (x, k) -> if(k = p div 64, x ^ shiftleft(1L, cast(p % 64 as int)), x))))[0])[0], s -> s.w)"
+)
 A, B, C = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB))
 TOP = np.uint64((1 << 64) - 1)
 SPACE = np.zeros(256, bool)
@@ -426,12 +431,12 @@ def paragraph_lines(found: DataFrame, bands: int, similarity: float, hot: int) -
         rows = wanted.select("content").join(firsts.select("content", "key", "pos", "n"), "content").join(found.select("key", "words"), "key")
         return rows.select("content", F.decode(F.substring("words", 2 * F.col("pos") + 1, 2 * F.col("n")), "UTF-16LE").alias("own")).dropDuplicates(["content"])
 
-    # similar: all but a fifth of the words stay, the others put in, left out or changed; a changed word turns at most two of 256 bits
+    # similar: all but a fifth of the words stay, the others put in, left out or changed
     allowed = lambda a, b: f"cast(floor({1 - similarity:.6f} * greatest({a}, {b}) + 1e-6) as int)"
     close = f"levenshtein(x, y, {allowed('length(x)', 'length(y)')}) >= 0"
-    odd = lambda k: f"aggregate(transform(split(own, ''), g -> pmod(xxhash64(g), 256)), 0L, (s, c) -> if(c div 64 = {k}, s ^ shiftleft(1L, cast(c % 64 as int)), s))"
-    columns = {"n": "length(own)"} | {f"w{k}": odd(k) for k in range(4)}
-    near = " + ".join(f"bit_count(w{k} ^ w{k}_b)" for k in range(4)) + f" <= 2 * {allowed('n', 'n_b')}"
+    columns = {"n": "length(own)", "w": SKETCH}
+    # of k edits each that puts a word in or leaves one out turns at most one bit, one that changes a word two; the difference in length takes those of the first kind
+    near = " + ".join(f"bit_count(w[{k}] ^ w_b[{k}])" for k in range(4)) + f" <= 2 * {allowed('n', 'n_b')} - abs(n - n_b)"
     links = near_links(found, firsts, "key", "words", bands, similarity, hot, held, close, (columns, near))
     roots = connected_components(links)
     classes = firsts.join(roots.toDF("content", "root"), "content", "left").where("again or root is not null").withColumn("root", F.coalesce("root", "content"))

@@ -10,9 +10,11 @@ import gc
 import tempfile
 import uuid
 
-import pyarrow as pa
+from py4j.protocol import Py4JError
 from pyspark.sql import DataFrame, SparkSession
 
+from .rows import give_back
+
 
 def shared_root(spark: SparkSession) -> str:
     """The folder named by ``spark.checkpoint.dir``; one of our own only where it is unset and there is one machine only."""
@@ -54,8 +56,29 @@ def discard(*tables: DataFrame) -> None:
             fs.delete(p, True)
 
 
+def trim(spark: SparkSession) -> bool:
+    """Have the driver's JVM return native memory that it has freed, as its compiler threads do, to the system; False where it can't (before JDK 17.0.9)."""
+    jvm, array = spark._jvm, spark.sparkContext._gateway.new_array
+    try:
+        beans = jvm.java.lang.management.ManagementFactory.getPlatformMBeanServer()
+        name, called = jvm.javax.management.ObjectName("com.sun.management:type=DiagnosticCommand"), jvm.java.lang.Class.forName
+        kinds, given = array(jvm.java.lang.Class, 4), array(jvm.java.lang.Object, 4)
+        for k, kind in enumerate(("javax.management.ObjectName", "java.lang.String", "[Ljava.lang.Object;", "[Ljava.lang.String;")):
+            kinds[k] = called(kind)
+        given[0], given[1] = name, "systemTrimNativeHeap"
+        # the server's own class isn't open to py4j, the interface is
+        called("javax.management.MBeanServerConnection").getMethod("invoke", kinds).invoke(beans, given)
+    except Py4JError:
+        return False
+    return True
+
+
 def release(spark: SparkSession) -> None:
-    """Have Spark delete the shuffle files of plans that nothing refers to any more, rather than when the driver next happens to collect its garbage."""
+    """Have Spark delete the shuffle files of plans that nothing refers to any more, rather than when the driver next happens to collect its garbage.
+
+    The driver, its JVM and its Python return the memory that they have freed.
+    """
     gc.collect()
-    pa.default_memory_pool().release_unused()
+    give_back()
     spark.sparkContext._jvm.System.gc()
+    trim(spark)
